@@ -47,7 +47,7 @@ def visit_numbers(
         rows.join(F.broadcast(large_keys), F.col(key).eqNullSafe(F.col("__large")), "left")
         # Never NULL, so that equal keys meet in ordinary equi-joins below.
         .withColumn("__group", F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit("")))
-        .withColumn("__piece", F.when("__is_large", F.coalesce(hour, F.lit(-(10**9)))).otherwise(0))
+        .withColumn("__piece", F.when(F.col("__is_large"), F.coalesce(hour, F.lit(-(10**9)))).otherwise(0))
     )
     group = ["__group", "__piece"]
 
@@ -131,7 +131,7 @@ def _numbered_in_slices(
     Exact copies become one row with a count, after which the order has no
     ties and range partitioning can cut anywhere.  Copies are restored last.
     """
-    distinct = rows.groupBy(*group, *order).agg(F.count("*").alias("__copies"))
+    distinct = rows.groupBy(*rows.columns).agg(F.count("*").alias("__copies"))
     firsts = _first_numbers(distinct, group, [F.asc(c) for c in order], "__copies", number, ts, previous)
 
     single = firsts.filter("__copies = 1").drop("__copies")
