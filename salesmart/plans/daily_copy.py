@@ -27,7 +27,8 @@ def copy_increment(source: DataFrame, target: str, *, as_of: datetime, dedupe: b
     """
     batch = incremental_extract(source, as_of=as_of)
     if dedupe:
-        batch = not_yet_copied(batch, read_sales_table(source.sparkSession, target), as_of=as_of)
+        copied = read_sales_table(source.sparkSession, target, load_day=True)
+        batch = not_yet_copied(batch, copied, as_of=as_of)
     return append_rows(batch, target)
 
 

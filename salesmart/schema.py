@@ -39,6 +39,10 @@ SALES = T.StructType(
 
 LOAD_COLUMNS = [name for name in SALES.names if name != "loaded_at"]
 
+# The stored raw table also keeps the day of loading, as its first partition
+# column: a daily extract then opens the files of two days only.
+LOAD_DAY = "loaded_on"
+
 SALES_CSV = T.StructType([SALES[name] for name in LOAD_COLUMNS])
 
 RUN_LOG = T.StructType(

@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions import amounts
-from salesmart.functions.dates import calendar, padded_id
-from salesmart.schema import MONEY, SALES, VENUE_TYPES
-
+from salesmart.functions.dates import calendar
+from salesmart.schema import SALES
 
 # The columns used, declared so that no footer has to be read to plan a query.
 TABLES = {
@@ -21,6 +20,26 @@ TABLES = {
     "region": "r_regionkey int, r_name string",
 }
 
+# Order lines carry no time of day, so minutes are spread over the day.
+PRICED = {
+    "transaction_id": "concat('T', concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey))",
+    "customer_id": "format_string('CUST%05d', o_custkey)",
+    "venue_id": "concat('V', s_suppkey)",
+    "venue_name": "s_name",
+    "venue_type": "CASE s_nationkey % 3 WHEN 0 THEN 'Hotel' WHEN 1 THEN 'Pub' ELSE 'Restaurant' END",
+    "city": "n_name",
+    "region": "r_name",
+    "transaction_ts": "l_shipdate + make_dt_interval(0, 0,"
+    " CAST((l_partkey * 37 + l_suppkey * 11 + l_linenumber * 101) % 1440 AS INT), 0)",
+    "item_name": "p_name",
+    "category": "p_type",
+    "quantity": "CAST(l_quantity AS INT)",
+    "unit_price": "CAST(p_retailprice AS DECIMAL(8,2))",
+    "discount_pct": "CAST(round(l_discount * 100) AS INT)",
+    "payment_method": "CASE o_orderpriority WHEN '1-URGENT' THEN 'App' WHEN '4-NOT SPECIFIED' THEN 'Card'"
+    " WHEN '5-LOW' THEN 'Cash' ELSE 'Contactless' END",
+}
+
 
 def _spread(df: DataFrame, *keys: str) -> DataFrame:
     """Share a small input among all cores.
@@ -54,38 +73,7 @@ def sales_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     )
 
-    # Order lines carry no time of day; spread them over the day.
-    minute = (F.col("l_partkey") * 37 + F.col("l_suppkey") * 11 + F.col("l_linenumber") * 101) % 1440
-    ts = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(0), minute.cast("int"), F.lit(0))
-    kind = F.col("s_nationkey") % len(VENUE_TYPES)
-    venue_type = F.lit(VENUE_TYPES[-1])
-    for code, name in reversed(list(enumerate(VENUE_TYPES[:-1]))):
-        venue_type = F.when(kind == code, name).otherwise(venue_type)
-    priority = F.col("o_orderpriority")
-
-    priced = lines.select(
-        F.concat(
-            F.lit("T"),
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
-        ).alias("transaction_id"),
-        padded_id("CUST", 5, F.col("o_custkey")).alias("customer_id"),
-        F.concat(F.lit("V"), F.col("s_suppkey").cast("string")).alias("venue_id"),
-        F.col("s_name").alias("venue_name"),
-        venue_type.alias("venue_type"),
-        F.col("n_name").alias("city"),
-        F.col("r_name").alias("region"),
-        ts.alias("transaction_ts"),
-        F.col("p_name").alias("item_name"),
-        F.col("p_type").alias("category"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("p_retailprice").cast(MONEY).alias("unit_price"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("discount_pct"),
-        F.when(priority == "1-URGENT", "App")
-        .when(priority == "4-NOT SPECIFIED", "Card")
-        .when(priority == "5-LOW", "Cash")
-        .otherwise("Contactless")
-        .alias("payment_method"),
-    )
+    priced = lines.selectExpr(*[f"{sql} AS {name}" for name, sql in PRICED.items()])
     return with_calendar(with_amounts(priced)).withColumn(
         "loaded_at",
         # The daily load runs at six in the morning after the sale.

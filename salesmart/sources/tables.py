@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.operators.quality import dq_summary
-from salesmart.schema import LOAD_COLUMNS, QUALITY_LOG, RUN_LOG, SALES
+from salesmart.schema import LOAD_COLUMNS, LOAD_DAY, QUALITY_LOG, RUN_LOG, SALES
 
-PARTITION = "transaction_date"
+PARTITIONS = [LOAD_DAY, "transaction_date"]
 # Fixed value: schema of tables that name none.
 DEFAULT_SCHEMA = "default"
 
@@ -29,9 +29,10 @@ def _moment(as_of: datetime | None) -> Column:
 
 
 def replace_sales_table(spark: SparkSession, table: str) -> None:
-    """Drop the raw table and create it empty, one partition per sales day."""
+    """Drop the raw table and create it empty, by day of loading and of sale."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} ({_ddl(SALES)}) USING parquet PARTITIONED BY ({PARTITION})")
+    columns = f"{_ddl(SALES)}, {LOAD_DAY} date"
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({', '.join(PARTITIONS)})")
 
 
 def to_load(rows: DataFrame, *, as_of: datetime | None = None) -> DataFrame:
@@ -49,24 +50,26 @@ def _required(column: str) -> Column:
 def append_rows(rows: DataFrame, table: str, *, as_of: datetime | None = None) -> int:
     """Append a batch to the raw table and return its number of rows.
 
-    The rebalance gives each sales day few files and cuts a large day into
-    several tasks.  Rows are counted while they are written.
+    The rebalance gives each day few files and cuts a large day into several
+    tasks.  Rows are counted while they are written.
     """
     counted = Observation()
     (
         to_load(rows, as_of=as_of)
-        .hint("rebalance", PARTITION)
+        .withColumn(LOAD_DAY, F.to_date("loaded_at"))
+        .hint("rebalance", *PARTITIONS)
         .observe(counted, F.count(F.lit(1)).alias("rows"))
         .write.mode("append")
         .format("parquet")
-        .partitionBy(PARTITION)
+        .partitionBy(*PARTITIONS)
         .saveAsTable(table)
     )
     return counted.get["rows"]
 
 
-def read_sales_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table).select(*SALES.names)
+def read_sales_table(spark: SparkSession, table: str, *, load_day: bool = False) -> DataFrame:
+    """The 24 columns of the fact, and the day of loading if asked for."""
+    return spark.table(table).select(*SALES.names, *[LOAD_DAY] * load_day)
 
 
 def create_run_log(spark: SparkSession, table: str) -> None:

@@ -25,6 +25,8 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
             "spark.checkpoint.dir": str(folder / "shared"),
+            # Whole filter lists in printed plans.
+            "spark.sql.maxMetadataStringLength": "2000",
         },
     )
     yield session

@@ -1,0 +1,212 @@
+"""Edge cases of the revenue reports."""
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from salesmart.functions import amounts, dates
+from salesmart.operators import sales as reports
+from salesmart.operators.marts import fct_venue_performance
+from salesmart.operators.staging import stg_transactions
+
+
+def values(df, *columns):
+    return [tuple(r) for r in df.select(*columns).collect()]
+
+
+def test_amounts_round_half_up(spark):
+    # 5 % of 0.50 is exactly half a cent above 0.02.
+    df = spark.sql("SELECT CAST(0.50 AS DECIMAL(8,2)) p, 1 q, 5 d")
+    gross = amounts.gross_amount(F.col("p"), F.col("q"))
+    discount = amounts.discount_amount(gross, F.col("d"))
+    row = df.select(gross, discount, amounts.net_amount(gross, discount)).first()
+    assert tuple(row) == (Decimal("0.50"), Decimal("0.03"), Decimal("0.47"))
+
+
+@pytest.mark.parametrize(
+    "day,price,weekend",
+    [("2024-03-07", "4.80", False), ("2024-03-08", "5.52", False), ("2024-03-09", "5.52", True), ("2024-03-10", "5.52", True)],
+)
+def test_friday_is_raised_but_no_weekend(spark, day, price, weekend):
+    df = spark.sql(f"SELECT CAST(4.80 AS DECIMAL(8,2)) p, DATE '{day}' d")
+    row = df.select(amounts.weekend_price(F.col("p"), F.col("d")), dates.is_weekend(F.col("d"))).first()
+    assert tuple(row) == (Decimal(price), weekend)
+
+
+def test_calendar_names_are_full(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ '2024-03-05 07:08:09' ts")
+    row = df.select(*[c.alias(n) for n, c in dates.calendar(F.col("ts")).items()]).first()
+    assert row.asDict() == {
+        "transaction_date": date(2024, 3, 5),
+        "transaction_time": "07:08:09",
+        "day_of_week": "Tuesday",
+        "month": "March",
+        "month_num": 3,
+        "is_weekend": False,
+    }
+
+
+def test_padded_id_keeps_long_numbers(spark):
+    ids = spark.range(1).select(
+        dates.padded_id("CUST", 5, F.lit(42)), dates.padded_id("CUST", 5, F.lit(1234567))
+    )
+    assert tuple(ids.first()) == ("CUST00042", "CUST1234567")
+
+
+def test_div0(spark):
+    df = spark.sql("SELECT * FROM VALUES (6, 3), (6, 0), (NULL, 0), (6, NULL) AS t(a, b)")
+    assert values(df.select(amounts.div0(F.col("a"), F.col("b")).alias("x")), "x") == [(2.0,), (0.0,), (None,), (None,)]
+
+
+def test_staging_drops_guest_and_casts(make_sales):
+    staged = stg_transactions(make_sales({}).withColumn("quantity", F.lit("3")))
+    assert "customer_id" not in staged.columns and len(staged.columns) == 23
+    assert dict(staged.dtypes)["quantity"] == "int" and staged.first().quantity == 3
+
+
+def test_amount_that_does_not_fit_is_an_error(make_sales):
+    rows = make_sales({}).withColumn("gross_amount", F.lit(Decimal("1234567.00")))
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        stg_transactions(rows).collect()
+
+
+def test_weekend_split(make_sales):
+    rows = make_sales(
+        {"transaction_ts": datetime(2024, 3, 8, 9), "net_amount": "5.00"},
+        {"transaction_ts": datetime(2024, 3, 9, 9), "net_amount": "7.00"},
+    )
+    split = reports.daily_revenue_weekend_split(rows)
+    found = sorted(values(split, "transaction_date", "weekend_revenue", "weekday_revenue"))
+    assert found == [
+        (date(2024, 3, 8), Decimal("0.00"), Decimal("5.00")),
+        (date(2024, 3, 9), Decimal("7.00"), Decimal("0.00")),
+    ]
+
+
+def eleven_items(make_sales):
+    """Eleven items, the last two tied at rank 10."""
+    prices = [100 - i for i in range(9)] + [10, 10]
+    return make_sales(*[{"item_name": f"I{i:02d}", "net_amount": str(p)} for i, p in enumerate(prices)])
+
+
+def test_ties_at_the_last_rank_are_all_kept(make_sales):
+    ranked = reports.top_items_ranked(eleven_items(make_sales))
+    assert sorted(r.revenue_rank for r in ranked.collect()) == [*range(1, 10), 10, 10]
+
+
+def test_top_n_keeps_n(make_sales):
+    top = reports.top_items(eleven_items(make_sales))
+    assert [r.item_name for r in top.collect()] == [f"I{i:02d}" for i in range(10)]
+
+
+def test_top_items_by_venue_type_and_days(make_sales):
+    rows = make_sales(
+        {"net_amount": "1.00"},
+        {"net_amount": "1.00", "transaction_ts": datetime(2024, 3, 2, 8)},
+        {"net_amount": "9.00", "venue_type": "Hotel"},
+    )
+    assert values(reports.top_items(rows), "venue_type", "days_sold") == [("Hotel", 1), ("Pub", 2)]
+    assert values(reports.top_items(rows, venue_type="Pub"), "total_revenue") == [(Decimal("2.00"),)]
+
+
+def test_payment_share(make_sales):
+    rows = make_sales(*[{"payment_method": m} for m in ("Card", "Card", "Cash")], {"venue_type": "Hotel"})
+    shares = sorted(values(reports.payment_split(rows), "venue_type", "payment_method", "pct_of_venue_transactions"))
+    assert shares == [("Hotel", "Card", 100.0), ("Pub", "Card", 66.7), ("Pub", "Cash", 33.3)]
+
+
+def month(n, amount, year=2024):
+    return {"transaction_ts": datetime(year, n, 5, 12), "net_amount": amount}
+
+
+def test_growth_over_nothing_and_over_a_gap(make_sales):
+    rows = make_sales(month(1, "0.00"), month(2, "10.00"), month(5, "15.00"), month(12, "10.00", 2023))
+    yearly = reports.monthly_trend(rows, year=2024)
+    # January has no month before it, February follows nothing, March and April are missing.
+    assert values(yearly, "month_num", "prev_month_revenue", "mom_growth_pct") == [
+        (1, None, None),
+        (2, Decimal("0.00"), None),
+        (5, Decimal("10.00"), Decimal("50.0")),
+    ]
+    folded = reports.monthly_trend_all_years(rows)
+    assert values(folded, "month_num", "mom_growth_pct") == [
+        (1, None),
+        (2, Decimal("0.0")),
+        (5, Decimal("50.0")),
+        (12, Decimal("-33.3")),
+    ]
+
+
+def test_years_are_folded_only_without_a_year(make_sales):
+    rows = make_sales(month(3, "1.00", 2023), month(3, "2.00", 2024))
+    assert values(reports.monthly_trend(rows, year=2023), "net_revenue") == [(Decimal("1.00"),)]
+    assert values(reports.monthly_trend_all_years(rows), "net_revenue") == [(Decimal("3.00"),)]
+
+
+def test_year_reaches_the_scan(fact):
+    plan = reports.monthly_trend(fact, year=1998)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: ")[1].split("]")[0]
+    assert "GreaterThanOrEqual(transaction_date,1998-01-01)" in pushed
+    assert "LessThanOrEqual(transaction_date,1998-12-31)" in pushed
+
+
+AS_OF = date(2024, 6, 30)
+
+
+def on(day):
+    return {"transaction_ts": datetime(day.year, day.month, day.day, 23, 59)}
+
+
+@pytest.mark.parametrize(
+    "arguments,expected",
+    [
+        ({}, 2),  # 31 May to 30 June
+        ({"start_date": date(2024, 5, 30)}, 3),
+        ({"end_date": date(2024, 6, 29)}, 1),
+        ({"start_date": date(2024, 5, 30), "end_date": date(2024, 5, 31)}, 2),
+        ({"venue_id": "V1"}, 2),
+        ({"venue_id": "V2"}, 0),
+    ],
+)
+def test_venue_summary_dates(make_sales, arguments, expected):
+    rows = make_sales(*[on(d) for d in (date(2024, 5, 30), date(2024, 5, 31), date(2024, 6, 30), date(2024, 7, 1))])
+    summary = reports.venue_summary(rows, as_of=AS_OF, **arguments)
+    assert sum(r.total_transactions for r in summary.collect()) == expected
+
+
+def test_venue_summary_order(make_sales):
+    rows = make_sales(
+        on(AS_OF), on(AS_OF) | {"venue_id": "V2", "net_amount": "50.00"}, on(AS_OF) | {"venue_id": "V3"}
+    )
+    summary = reports.venue_summary(rows, as_of=AS_OF)
+    assert [r.venue_id for r in summary.collect()] == ["V2", "V1", "V3"]
+
+
+def test_value_counts_and_first_rows(make_sales):
+    rows = make_sales({"category": "B"}, {"category": "A"}, {"category": "C"}, {"category": "C"})
+    assert values(reports.value_counts(rows, "category"), "category", "transactions") == [("C", 2), ("A", 1), ("B", 1)]
+    assert [r.transaction_id for r in reports.first_rows(rows).collect()] == ["T1", "T2", "T3"]
+
+
+def test_mart_counts_an_id_once(make_sales):
+    rows = make_sales({"transaction_id": "T"}, {"transaction_id": "T", "loaded_at": datetime(2024, 4, 1)})
+    row = fct_venue_performance(stg_transactions(rows)).first()
+    assert (row.total_transactions, row.total_units_sold, row.last_pipeline_update) == (1, 2, datetime(2024, 4, 1))
+
+
+def test_reports_add_up(fact):
+    net = fact.agg(F.sum("net_amount")).first()[0]
+    rows = fact.count()
+
+    def total(df, column):
+        return df.agg(F.sum(column)).first()[0]
+
+    split = reports.daily_revenue_weekend_split(fact)
+    assert total(split, F.col("weekend_revenue") + F.col("weekday_revenue")) == net
+    assert total(reports.daily_revenue(fact), "net_revenue") == net
+    assert total(fct_venue_performance(stg_transactions(fact)), "total_net_revenue") == net
+    assert total(reports.payment_split(fact), "transaction_count") == rows
+    assert total(reports.category_performance(fact), "times_ordered") == rows
+    assert total(reports.monthly_trend_all_years(fact), "net_revenue") == net
