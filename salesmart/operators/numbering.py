@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from salesmart.sources.shared import store
 
 ROWS_PER_TASK = 5_000_000
+# A year has 35,000 such pieces: few enough for one task even over decades, and
+# short enough that a key with billions of rows fits rows_per_task in each.
+PIECE_MINUTES = 15
 COPIES_PER_STEP = 100_000
 
 
@@ -42,16 +45,17 @@ def visit_numbers(
 
     # At most (all rows / rows_per_task) keys, so broadcasting them is safe.
     large_keys = store(large_keys, "large-keys").select(F.col(key).alias("__large"), F.lit(True).alias("__is_large"))
-    hour = F.unix_date(F.to_date(ts)) * 24 + F.hour(ts)
+    minute = F.unix_date(F.to_date(ts)) * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    piece = F.floor(minute / PIECE_MINUTES).cast("int")
     pieces = (
         rows.join(F.broadcast(large_keys), F.col(key).eqNullSafe(F.col("__large")), "left")
         # Never NULL, so that equal keys meet in ordinary equi-joins below.
         .withColumn("__group", F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit("")))
-        .withColumn("__piece", F.when(F.col("__is_large"), F.coalesce(hour, F.lit(-(10**9)))).otherwise(0))
+        .withColumn("__piece", F.when(F.col("__is_large"), F.coalesce(piece, F.lit(-(10**9)))).otherwise(0))
     )
     group = ["__group", "__piece"]
 
-    # One row per large key and hour: as long as the calendar, not the data.
+    # One row per large key and piece: as long as the calendar, not the data.
     sizes = store(
         pieces.filter("__is_large").groupBy(*group).agg(F.count("*").alias("__rows"), F.max(ts).alias("__last")),
         "pieces",

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.functions.amounts import weekend_price
 from salesmart.operators import dashboard, guests, increments, marts, quality, sales
+from salesmart.operators.derive import with_amounts, with_calendar, with_weekend_uplift
 from salesmart.operators.staging import stg_transactions
 from salesmart.sources.harness import sales_from_orders
 
@@ -42,28 +42,6 @@ def short_ids(rows: DataFrame) -> DataFrame:
     return rows.withColumn("transaction_id", short)
 
 
-def derive_amounts(rows: DataFrame) -> DataFrame:
-    return rows.select("transaction_id", "gross_amount", "discount_amount", "net_amount")
-
-
-def derive_calendar(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        "transaction_id",
-        "customer_id",
-        "transaction_date",
-        "transaction_time",
-        "day_of_week",
-        "month",
-        "month_num",
-        "is_weekend",
-    )
-
-
-def weekend_uplift(rows: DataFrame) -> DataFrame:
-    price = weekend_price(F.col("unit_price"), F.col("transaction_date"))
-    return rows.select("transaction_id", "transaction_date", "unit_price", price.alias("uplifted_price"))
-
-
 def _venues(rows: DataFrame) -> DataFrame:
     return marts.fct_venue_performance(stg_transactions(rows))
 
@@ -75,9 +53,15 @@ def _retention(rows: DataFrame) -> DataFrame:
 # Each entry maps the sales fact to a result.
 REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "stg_transactions": stg_transactions,
-    "derive_amounts": derive_amounts,
-    "derive_calendar": derive_calendar,
-    "weekend_uplift": weekend_uplift,
+    "derive_amounts": lambda s: with_amounts(s.select("transaction_id", "unit_price", "quantity", "discount_pct")).drop(
+        "unit_price", "quantity", "discount_pct"
+    ),
+    "derive_calendar": lambda s: with_calendar(s.select("transaction_id", "customer_id", "transaction_ts")).drop(
+        "transaction_ts"
+    ),
+    "weekend_uplift": lambda s: with_weekend_uplift(s, into="uplifted_price").select(
+        "transaction_id", "transaction_date", "unit_price", "uplifted_price"
+    ),
     "incremental_extract": lambda s: increments.incremental_extract(s, as_of=datetime(2000, 1, 2, 6)),
     "latest_per_transaction": lambda s: increments.latest_per_transaction(short_ids(s)),
     "daily_revenue": sales.daily_revenue,

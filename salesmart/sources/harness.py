@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.functions import amounts
-from salesmart.functions.dates import calendar
+from salesmart.functions.dates import padded_id
+from salesmart.operators.derive import with_amounts, with_calendar
 from salesmart.schema import SALES
 
 # The columns used, declared so that no footer has to be read to plan a query.
@@ -23,7 +23,6 @@ TABLES = {
 # Order lines carry no time of day, so minutes are spread over the day.
 PRICED = {
     "transaction_id": "concat('T', concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey))",
-    "customer_id": "format_string('CUST%05d', o_custkey)",
     "venue_id": "concat('V', s_suppkey)",
     "venue_name": "s_name",
     "venue_type": "CASE s_nationkey % 3 WHEN 0 THEN 'Hotel' WHEN 1 THEN 'Pub' ELSE 'Restaurant' END",
@@ -64,32 +63,24 @@ def sales_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     def table(name: str) -> DataFrame:
         return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
-    lines = (
-        _spread(table("lineitem"), "l_orderkey", "l_linenumber")
-        .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    venues = (
+        table("supplier")
         .join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    )
+    lines = (
+        _spread(table("lineitem"), "l_orderkey", "l_linenumber")
+        .join(venues, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     )
-
-    priced = lines.selectExpr(*[f"{sql} AS {name}" for name, sql in PRICED.items()])
+    priced = lines.select(
+        *[F.expr(sql).alias(name) for name, sql in PRICED.items()],
+        padded_id("CUST", 5, F.col("o_custkey")).alias("customer_id"),
+    )
     return with_calendar(with_amounts(priced)).withColumn(
         "loaded_at",
         # The daily load runs at six in the morning after the sale.
         F.date_add("transaction_date", 1).cast("timestamp_ntz") + F.expr("INTERVAL 6 HOURS"),
     ).select(*SALES.names)
 
-
-def with_amounts(rows: DataFrame) -> DataFrame:
-    """Gross, discount and net from unit price, quantity and percentage."""
-    return (
-        rows.withColumn("gross_amount", amounts.gross_amount(F.col("unit_price"), F.col("quantity")))
-        .withColumn("discount_amount", amounts.discount_amount(F.col("gross_amount"), F.col("discount_pct")))
-        .withColumn("net_amount", amounts.net_amount(F.col("gross_amount"), F.col("discount_amount")))
-    )
-
-
-def with_calendar(rows: DataFrame) -> DataFrame:
-    """Date, time, day, month and weekend flag from ``transaction_ts``."""
-    return rows.withColumns(calendar(F.col("transaction_ts")))

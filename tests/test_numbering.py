@@ -49,9 +49,9 @@ START = datetime(2024, 1, 1, 12)
 
 
 @pytest.mark.parametrize("limit", [3, 40, 400, 10_000])
-def test_hot_key_hot_hour_and_copies(spark, limit):
+def test_hot_key_hot_piece_and_copies(spark, limit):
     rows = []
-    for i in range(400):  # one key over many hours
+    for i in range(400):  # one key over many pieces
         rows.append(("hot", START + timedelta(minutes=37 * i), f"a{i % 7}", i))
     for i in range(300):  # many rows of one moment
         rows.append(("hot", START + timedelta(days=2), f"b{i}", 1))
