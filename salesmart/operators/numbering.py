@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from salesmart.sources.shared import store
@@ -102,8 +102,10 @@ def rank_descending(
     ``rows`` is an aggregate; it is stored once because its size decides how
     to rank it.
     """
-    rows = store(rows, "to-rank")
-    if rows.groupBy(group).count().filter(F.col("count") > rows_per_task).isEmpty():
+    counted = Observation()
+    rows = store(rows.observe(counted, F.count(F.lit(1)).alias("rows")), "to-rank")
+    large = rows.groupBy(group).count().filter(F.col("count") > rows_per_task)
+    if counted.get["rows"] <= rows_per_task or large.isEmpty():
         largest_first = Window.partitionBy(group).orderBy(F.desc(measure))
         return rows.withColumn(rank, F.rank().over(largest_first))
 

@@ -98,7 +98,15 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 
 def queries() -> dict[str, Query]:
+    """The reports over the fact, which is planned once per session and folder."""
+    facts: dict[tuple[SparkSession, str], DataFrame] = {}
+
+    def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if (spark, sf_dir) not in facts:
+            facts[spark, sf_dir] = sales_from_orders(spark, sf_dir)
+        return facts[spark, sf_dir]
+
     def over_orders(report: Callable[[DataFrame], DataFrame]) -> Query:
-        return lambda spark, sf_dir: portable(report(sales_from_orders(spark, sf_dir)))
+        return lambda spark, sf_dir: portable(report(fact(spark, sf_dir)))
 
     return {name: over_orders(report) for name, report in REPORTS.items()}
