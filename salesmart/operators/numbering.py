@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.sources.shared import store
+from salesmart.sources.shared import store, store_counted
 
 ROWS_PER_TASK = 5_000_000
 # A year has 35,000 such pieces: few enough for one task even over decades, and
@@ -39,12 +39,13 @@ def visit_numbers(
     """
     order = [ts, *ties, *[c for c in rows.columns if c not in (key, ts, *ties)]]
 
-    large_keys = rows.groupBy(key).count().filter(F.col("count") > rows_per_task).select(key)
-    if large_keys.isEmpty():
+    large_keys = rows.groupBy(key).count().filter(F.col("count") > rows_per_task)
+    large_keys, n_large = store_counted(large_keys, "large-keys")
+    if not n_large:
         return _numbered(rows, [key], order, ts, number, previous)
 
     # At most (all rows / rows_per_task) keys, so broadcasting them is safe.
-    large_keys = store(large_keys, "large-keys").select(F.col(key).alias("__large"), F.lit(True).alias("__is_large"))
+    large_keys = large_keys.select(F.col(key).alias("__large"), F.lit(True).alias("__is_large"))
     minute = F.unix_date(F.to_date(ts)) * 1440 + F.hour(ts) * 60 + F.minute(ts)
     piece = F.floor(minute / PIECE_MINUTES).cast("int")
     pieces = (
@@ -68,12 +69,14 @@ def visit_numbers(
         F.lag("__last").over(earlier).alias("__last_before"),
     )
     # Again at most (all rows / rows_per_task) of them.
-    crowded = sizes.filter(F.col("__rows") > rows_per_task).select(*group)
+    crowded, n_crowded = store_counted(
+        sizes.filter(F.col("__rows") > rows_per_task).select(*group), "crowded-pieces"
+    )
 
-    if crowded.isEmpty():
+    if not n_crowded:
         parts = [_numbered(pieces, group, order, ts, number, previous)]
     else:
-        crowded = F.broadcast(store(crowded, "crowded-pieces"))
+        crowded = F.broadcast(crowded)
         parts = [
             _numbered(pieces.join(crowded, group, "left_anti"), group, order, ts, number, previous),
             _numbered_in_slices(pieces.join(crowded, group, "left_semi"), group, order, ts, number, previous),
@@ -102,10 +105,9 @@ def rank_descending(
     ``rows`` is an aggregate; it is stored once because its size decides how
     to rank it.
     """
-    counted = Observation()
-    rows = store(rows.observe(counted, F.count(F.lit(1)).alias("rows")), "to-rank")
+    rows, n_rows = store_counted(rows, "to-rank")
     large = rows.groupBy(group).count().filter(F.col("count") > rows_per_task)
-    if counted.get["rows"] <= rows_per_task or large.isEmpty():
+    if n_rows <= rows_per_task or large.isEmpty():
         largest_first = Window.partitionBy(group).orderBy(F.desc(measure))
         return rows.withColumn(rank, F.rank().over(largest_first))
 

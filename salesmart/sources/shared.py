@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -32,3 +33,10 @@ def store(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def store_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``store``, and the number of rows, counted while they are written."""
+    counted = Observation()
+    stored = store(df.observe(counted, F.count(F.lit(1)).alias("rows")), name)
+    return stored, counted.get["rows"]

@@ -19,9 +19,22 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+SQL_TYPES = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
-    columns, rows = spark_result(QUERIES[name](spark, SF_DIR))
+    df = QUERIES[name](spark, SF_DIR)
+    sql_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {ORACLE[name]}").fetchall()}
+    assert {c: SQL_TYPES[t] for c, t in df.dtypes} == sql_types
+    columns, rows = spark_result(df)
     assert rows
     sql_columns, sql_rows = sql_result(con, ORACLE[name])
     assert columns == sql_columns

@@ -30,6 +30,11 @@ def test_not_null_names_each_column(make_sales):
     assert [name for name, _ in found] == ["net_amount", "transaction_id", "transaction_ts"]
 
 
+def test_missing_values_are_looked_for_in_the_scan(fact):
+    plan = quality.not_null(fact)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(Or(IsNull(transaction_id),IsNull(transaction_ts)),IsNull(net_amount))]" in plan
+
+
 def test_accepted_values_let_null_pass(make_sales):
     rows = make_sales({"venue_type": "Bar"}, {"venue_type": None}, {"venue_type": "Pub"})
     assert [tuple(r) for r in quality.accepted_values(rows, "venue_type").collect()] == [("Bar", 1)]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from salesmart.operators.increments import incremental_extract, latest_per_transaction
 from salesmart.operators.sales import daily_revenue
 from salesmart.plans import daily_copy, warehouse
+from salesmart.plans.load import load_csv
 from salesmart.schema import LOAD_COLUMNS, SALES, SALES_CSV
 from salesmart.sources import csv_sales, shared, tables
 
@@ -79,6 +80,16 @@ def test_no_file_is_skipped_without_need(spark, tmp_path):
     assert rows.columns == LOAD_COLUMNS and rows.count() == 2 and rejected.isEmpty()
 
 
+def test_load_files(spark, tmp_path):
+    write_file(tmp_path / "in" / "good.csv", line("T1"), line("T2"))
+    folder = write_file(tmp_path / "in" / "bad.csv", line("T3", price="cheap"))
+    for _ in range(2):
+        loaded = load_csv(spark, folder, "loaded_sales", replace=True, as_of=AS_OF)
+        assert loaded.rows == 2 and loaded.rejected.count() == 1
+    rows = tables.read_sales_table(spark, "loaded_sales").collect()
+    assert sorted((r.transaction_id, r.loaded_at) for r in rows) == [("T1", AS_OF), ("T2", AS_OF)]
+
+
 @pytest.fixture
 def raw(spark):
     tables.replace_sales_table(spark, "raw_sales")
