@@ -9,14 +9,20 @@ from salesmart.functions.amounts import mean, mean_rounded
 from salesmart.functions.dates import day_gap, month_start
 from salesmart.functions.guests import CUSTOMER_BANDS, SEGMENT_BANDS, LoyaltyBands, segment_key
 from salesmart.operators.numbering import ROWS_PER_TASK, visit_numbers
+from salesmart.sources.shared import store
 
 
-def visit_history(staged: DataFrame, *, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def visit_history(
+    staged: DataFrame, *, store_input: bool = False, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Visits in time order per pseudo-guest, with gap and loyalty segment.
 
     The pseudo-guest hashes payment method, city and venue type, so it stands
     for many people: nearly everybody counts as returning.  Use
     ``visit_history_by_customer`` to follow individual guests.
+
+    Sequencing reads its input twice or more.  ``store_input`` keeps the few
+    columns it needs, which pays off if ``staged`` is not a stored table.
     """
     return _history(
         staged,
@@ -24,11 +30,14 @@ def visit_history(staged: DataFrame, *, rows_per_task: int = ROWS_PER_TASK) -> D
         key_name="customer_surrogate_id",
         previous="previous_transaction_ts",
         bands=SEGMENT_BANDS,
+        store_input=store_input,
         rows_per_task=rows_per_task,
     )
 
 
-def visit_history_by_customer(sales: DataFrame, *, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def visit_history_by_customer(
+    sales: DataFrame, *, store_input: bool = False, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Visits in time order per guest, in bands of 30, 90 and 180 days."""
     return _history(
         sales,
@@ -36,16 +45,26 @@ def visit_history_by_customer(sales: DataFrame, *, rows_per_task: int = ROWS_PER
         key_name="customer_id",
         previous="previous_visit_ts",
         bands=CUSTOMER_BANDS,
+        store_input=store_input,
         rows_per_task=rows_per_task,
     )
 
 
 def _history(
-    sales: DataFrame, *, key: Column, key_name: str, previous: str, bands: LoyaltyBands, rows_per_task: int
+    sales: DataFrame,
+    *,
+    key: Column,
+    key_name: str,
+    previous: str,
+    bands: LoyaltyBands,
+    store_input: bool,
+    rows_per_task: int,
 ) -> DataFrame:
     visits = sales.select(
         "transaction_id", "venue_id", "venue_type", "transaction_ts", "net_amount", key.alias(key_name)
     )
+    if store_input:
+        visits = store(visits, "visits")
     numbered = visit_numbers(
         visits,
         key=key_name,

@@ -46,8 +46,13 @@ def _venues(rows: DataFrame) -> DataFrame:
     return marts.fct_venue_performance(stg_transactions(rows))
 
 
+def _visits(rows: DataFrame) -> DataFrame:
+    # The fact is a join here, which must not run once per reading.
+    return guests.visit_history(stg_transactions(rows), store_input=True)
+
+
 def _retention(rows: DataFrame) -> DataFrame:
-    return guests.fct_retention(guests.visit_history(stg_transactions(rows)))
+    return guests.fct_retention(_visits(rows))
 
 
 # Each entry maps the sales fact to a result.
@@ -77,8 +82,8 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "monthly_trend": lambda s: sales.monthly_trend(s, year=1998),
     "monthly_trend_all_years": sales.monthly_trend_all_years,
     "fct_venue_performance": _venues,
-    "visit_history": lambda s: guests.visit_history(stg_transactions(s)),
-    "visit_history_by_customer": guests.visit_history_by_customer,
+    "visit_history": _visits,
+    "visit_history_by_customer": lambda s: guests.visit_history_by_customer(s, store_input=True),
     "fct_retention": _retention,
     "venue_breakdown": lambda s: sales.value_counts(s, "venue_name"),
     "category_breakdown": lambda s: sales.value_counts(s, "category"),
