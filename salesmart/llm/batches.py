@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,25 +18,6 @@ def schema_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
-def map_columns(df: DataFrame, make: Callable[[], Callable[..., Iterable[tuple]]], ddl: str) -> DataFrame:
-    """``make()`` once per partition; what it returns takes the columns of a batch
-    as lists and yields rows of ``ddl``."""
-    schema = schema_of(ddl)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow = to_arrow_schema(schema)
-        rows_of = make()
-        for batch in batches:
-            for part in slices(batch):
-                rows = list(rows_of(*(column.to_pylist() for column in part.columns)))
-                columns = list(zip(*rows, strict=True)) if rows else [[] for _ in arrow]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values, field.type) for values, field in zip(columns, arrow, strict=True)], schema=arrow
-                )
-
-    return df.mapInArrow(run, schema)
-
-
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of about ``SLICE_CHARS`` bytes, so that a batch of long
     texts is not unpacked at once."""
@@ -47,11 +28,11 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
-def append_columns(df: DataFrame, inputs: list[str], make: Callable[[], Callable[..., list[list]]], ddl: str) -> DataFrame:
+def append_columns(df: DataFrame, inputs: list[str], make: Callable[[], Callable[..., list[list]]], ddl: str, whole: bool = False) -> DataFrame:
     """``df`` and new columns.  ``make()`` once per partition; what it returns
     takes the ``inputs`` as lists and returns one list per new column.  The new
     columns replace those of the same name; what the row holds besides is
-    passed on untouched."""
+    passed on untouched.  ``whole``: batches as they come, not in slices."""
     added = schema_of(ddl)
     rest = [c for c in df.columns if c not in added.names]
     schema = T.StructType([df.schema[c] for c in rest] + added.fields)
@@ -61,7 +42,7 @@ def append_columns(df: DataFrame, inputs: list[str], make: Callable[[], Callable
         arrow = to_arrow_schema(schema)
         columns_of = make()
         for batch in batches:
-            for part in slices(batch):
+            for part in [batch] if whole else slices(batch):
                 new = columns_of(*(part.column(c).to_pylist() for c in inputs))
                 arrays = [part.column(c).cast(arrow.field(c).type) for c in rest]
                 arrays += [pa.array(values, arrow.field(name).type) for values, name in zip(new, added.names, strict=True)]

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontaminate, mixing, secrets
+from salesmart.llm import decontaminate, langid, mixing, resharding, secrets, simhash, sketch, warc
+
+#: One in so many documents is held out of training.
+FOLDS = 5
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Whether labels of this document are kept from training.  A null id counts as
+    the text 'null'."""
+    text = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
+    return F.crc32(text.cast("binary")) % FOLDS == 0
+
+
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = [rule.kind for rule in secrets.BASE]
@@ -28,6 +38,42 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archived(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    page_of = F.udf(warc.page_of, "long", useArrow=True)
+    return found.where("kind = 'record'").select(
+        page_of("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page_of("refers_to").alias("refers_to"),
+    )
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprint_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out())
+    model = langid.train(docs.where(~F.col("held_out")))
+    found = langid.identify(docs.select("doc_id", "text", "held_out"), model, spans=False)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op6_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    placed = resharding.reshard(docs)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -49,6 +95,11 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
+    "op2_warc": op2_warc,
+    "op3_simhash": op3_simhash,
+    "op4_fingerprints": op4_fingerprints,
+    "op5_language": op5_language,
+    "op6_reshard": op6_reshard,
     "op7_decontaminate": op7_decontaminate,
     "op8_mix": op8_mix,
 }
