@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontaminate, langid, mixing, resharding, secrets, simhash, sketch, warc
+from salesmart.llm import decontaminate, langid, mixing, quality, resharding, samples, secrets, simhash, sketch, toxicity, warc
 
 #: One in so many documents is held out of training.
 FOLDS = 5
@@ -93,6 +93,24 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def _judged(found: DataFrame, least: float) -> DataFrame:
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out())
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    trained = toxicity.train(docs, samples.labelled(docs, labels, "toxic", toxicity.SAMPLE))
+    return _judged(toxicity.score(docs, trained), 0.5)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out())
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    model = quality.train(samples.labelled(docs, labels, "quality", quality.SAMPLE))
+    return _judged(quality.score(docs, model), 0.3)
+
+
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_warc": op2_warc,
@@ -102,4 +120,6 @@ QUERIES: dict[str, Query] = {
     "op6_reshard": op6_reshard,
     "op7_decontaminate": op7_decontaminate,
     "op8_mix": op8_mix,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality": op10_quality,
 }
