@@ -99,10 +99,11 @@ def words_of(texts: list[str | None]) -> Words:
 
 
 def _pieces(texts: list[str | None]) -> Iterator[tuple[int, list[str | None]]]:
-    """Runs of texts of about ``SLICE_CHARS`` together; a longer one is alone."""
+    """Runs of texts of a quarter of ``SLICE_CHARS`` together, as each letter takes
+    many bytes while it is scored; a longer text is alone."""
     held, size, first = [], 0, 0
     for i, text in enumerate(texts):
-        if held and size + len(text or "") > SLICE_CHARS // 2:
+        if held and size + len(text or "") > SLICE_CHARS // 4:
             yield first, held
             held, size, first = [], 0, i
         held.append(text)

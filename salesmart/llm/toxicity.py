@@ -27,9 +27,11 @@ LETTERS = 27
 CONTEXT = 3
 #: Labelled rows that the classifier is fitted on, at most.
 SAMPLE = 20_000
-#: Words that the classifier knows, at most; standard errors by which a word's
-#: share of toxic texts must differ from all; texts it must be in.
-FEATURES, APART, OFTEN = 1000, 6.0, 5
+#: Words and beginnings that the classifier knows, at most; standard errors by
+#: which the share of toxic texts with one must differ from all; texts it must be in.
+FEATURES, APART, OFTEN = 2000, 6.0, 5
+#: Letters of the beginnings of longer words, which tell words of a family.
+BEGINNINGS = (4, 5, 6)
 
 # Letters that a sign may stand for.
 MEANT = {
@@ -212,6 +214,13 @@ class Restorer:
         return words
 
 
+def features(words: set[str]) -> set[str]:
+    """The words, the beginnings of longer ones ('abcd-'), and those that several of
+    the words share ('abcd--')."""
+    begins = Counter(w[:n] for n in BEGINNINGS for w in words if len(w) > n)
+    return words | {f"{b}-" for b in begins} | {f"{b}--" for b, n in begins.items() if n > 1}
+
+
 def _starts(text: str, part: str) -> Iterator[int]:
     at = text.find(part)
     while at >= 0:
@@ -231,7 +240,7 @@ class Model:
         self.weights, self.bias = weights, bias
 
     def score(self, words: set[str]) -> float:
-        total = self.bias + sum(self.weights[w] for w in sorted(self.weights.keys() & words))
+        total = self.bias + sum(self.weights[w] for w in sorted(self.weights.keys() & features(words)))
         return float(1 / (1 + np.exp(-total)))
 
 
@@ -256,7 +265,7 @@ def train_words(sample: DataFrame, shared_letters) -> Model:
         for batch in batches:
             for part in slices(batch):
                 for text, toxic in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    words = restorer.words(text)
+                    words = features(restorer.words(text))
                     seen[0].update(words)
                     if toxic:
                         seen[1].update(words)
@@ -272,33 +281,33 @@ def train_words(sample: DataFrame, shared_letters) -> Model:
     counted = counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).where(F.col("n") >= OFTEN)
     apart = F.abs(F.col("toxic") / F.col("n") - share) / F.sqrt(F.lit(share * (1 - share)) / F.col("n"))
     chosen = counted.withColumn("apart", apart).where(F.col("apart") > APART).orderBy(F.desc("apart"), "word").limit(FEATURES)
-    features = [r["word"] for r in chosen.select("word").collect()]
-    number = {w: i for i, w in enumerate(features)}
+    telling = [r["word"] for r in chosen.select("word").collect()]
+    number = {w: i for i, w in enumerate(telling)}
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = _restorer(shared_letters)
         for batch in batches:
             for part in slices(batch):
                 texts, toxic = (c.to_pylist() for c in part.columns)
-                rows = [sorted(number[w] for w in number.keys() & restorer.words(t)) for t in texts]
+                rows = [sorted(number[w] for w in number.keys() & features(restorer.words(t))) for t in texts]
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array(toxic, pa.int32())], names=["words", "toxic"])
 
     rows = sorted((tuple(r["words"]), r["toxic"]) for r in sample.mapInArrow(present, schema_of("words array<int>, toxic int")).collect())
-    weights, bias = fit([r[0] for r in rows], np.array([r[1] for r in rows]), len(features))
-    return Model(dict(zip(features, weights.tolist(), strict=True)), bias)
+    weights, bias = fit([r[0] for r in rows], np.array([r[1] for r in rows]), len(telling))
+    return Model(dict(zip(telling, weights.tolist(), strict=True)), bias)
 
 
-def fit(rows: list[tuple[int, ...]], labels: np.ndarray, features: int, steps: int = 400, ridge: float = 1.0) -> tuple[np.ndarray, float]:
+def fit(rows: list[tuple[int, ...]], labels: np.ndarray, width: int, steps: int = 400, ridge: float = 1.0) -> tuple[np.ndarray, float]:
     """Logistic regression of presence, by accelerated gradient steps."""
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     column = np.fromiter((c for r in rows for c in r), np.int64, len(row))
-    at = np.zeros(features + 1)
+    at = np.zeros(width + 1)
     mean, square = np.zeros_like(at), np.zeros_like(at)
     at[-1] = np.log((labels.sum() + 1) / (len(labels) - labels.sum() + 1))
     for t in range(1, steps + 1):
         margin = at[-1] + np.bincount(row, at[column], len(rows))
         error = 1 / (1 + np.exp(-margin)) - labels
-        slope = np.append(np.bincount(column, error[row], features) + ridge * at[:-1], error.sum()) / len(rows)
+        slope = np.append(np.bincount(column, error[row], width) + ridge * at[:-1], error.sum()) / len(rows)
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
         at -= 0.1 * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.99**t)) + 1e-9)
     return at[:-1], float(at[-1])
