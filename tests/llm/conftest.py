@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+PROSE = "the cat sat on the mat while rain fell on the old grey roof of the house near the river"
+AWKWARD = [
+    (None, None, None, None, None),
+    (None, PROSE, "en", None, None),
+    (1, None, "en", "a", 0),
+    (2, "", "en", "a", 0),
+    (3, " \t\n ", None, "b", 4),
+    (4, "?!$%&", "de", "b", 5),
+    (5, PROSE, "en", "a", len(PROSE)),
+    (6, PROSE, "en", "a", len(PROSE)),  # the same text
+    (6, PROSE, "en", "a", len(PROSE)),  # the same row
+    (6, "another text of the same id", "en", "c", 27),
+    (7, (PROSE + " ") * 3000, "en", "a", 0),  # very long
+    (8, "x" * 100_000, None, "d", 0),  # one long word
+    (9, "naïve Straße 東京 \U0001f600 déjà vu", "fr", "\U0001f600", 0),
+]
+CLASHING = ["size", "copies", "secrets", "score", "hits", "items", "fp", "shard", "slot", "block", "spans", "range", "tail", "n_words"]
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    def make(rows, schema=DOCS):
+        return spark.createDataFrame(rows, schema)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def awkward(make_docs):
+    return make_docs(AWKWARD)
+
+
+@pytest.fixture(scope="session")
+def clashing(awkward):
+    """The awkward rows with columns named as the operators name theirs."""
+    return awkward.withColumns({name: F.lit("mine") for name in CLASHING})
+
+
+@pytest.fixture(scope="session")
+def no_docs(make_docs):
+    return make_docs([])
+
+
+@pytest.fixture(scope="session")
+def tables(spark, tmp_path_factory):
+    """A folder with given tables."""
+
+    def write(**frames):
+        folder = tmp_path_factory.mktemp("tables")
+        for name, frame in frames.items():
+            frame.write.parquet(str(folder / f"{name}.parquet"))
+        return str(folder)
+
+    return write

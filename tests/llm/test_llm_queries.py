@@ -1,0 +1,135 @@
+"""Registered queries against SQL or against brute force over whole tables."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from comparing import connect, spark_result, sql_result
+
+import __spark_entry__ as entry_points
+from salesmart.llm.oracle import ORACLE
+from salesmart.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(SF_DIR)
+
+
+@pytest.fixture(scope="module")
+def docs(con):
+    return con.execute("SELECT doc_id, text, lang FROM documents ORDER BY doc_id").fetchall()
+
+
+def test_registered():
+    assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql())
+
+
+@pytest.mark.parametrize("name", ORACLE)
+def test_sql(spark, con, name):
+    assert spark_result(QUERIES[name](spark, SF_DIR)) == sql_result(con, ORACLE[name])
+
+
+def test_warc(spark, con):
+    pages = con.execute("SELECT page_id, html FROM pages").fetchall()
+    firsts: dict = {}
+    for page, html in sorted(pages, reverse=True):
+        firsts[(html or "").encode()] = page
+    want = []
+    for page, html in pages:
+        payload = (html or "").encode()
+        first = firsts[payload]
+        again = len(payload) >= 100 and first != page
+        want.append((page, len(payload), hashlib.sha256(payload).hexdigest(), "revisit" if again else "response", first if again else None))
+    got = [tuple(r) for r in QUERIES["op2_warc"](spark, SF_DIR).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def brute_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(b" ".join(words[i : i + 3]), seed=42) for i in range(max(1, len(words) - 2))]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(ids, prints):
+    parent = list(range(len(ids)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(ids)):
+        for j in np.flatnonzero(np.bitwise_count(prints[i] ^ prints[:i]) <= 3):
+            parent[top(i)] = top(int(j))
+    least = {}
+    for i, key in enumerate(ids):
+        least[top(i)] = min(least.get(top(i), key), key)
+    return [least[top(i)] for i in range(len(ids))]
+
+
+def test_simhash(spark, docs):
+    ids = [d[0] for d in docs]
+    prints = np.array([brute_fingerprint(d[1]) for d in docs], np.uint64)
+    want = sorted(zip(ids, (f"{int(p):016x}" for p in prints), brute_components(ids, prints), strict=True))
+    got = sorted(tuple(r) for r in QUERIES["op3_simhash"](spark, SF_DIR).collect())
+    assert got == want
+
+
+def test_fingerprints(spark, docs):
+    rows = {r["doc_id"]: r for r in QUERIES["op4_fingerprints"](spark, SF_DIR).collect()}
+    assert len(rows) == len(docs)
+    prints = {}
+    for i, (key, text, _) in enumerate(docs):
+        n, row = len(text) // 4, rows[key]
+        edited = text[: len(text) - n] + docs[(i + 1) % len(docs)][1][:n]
+        assert row["n_chars"] == len(text)
+        assert row["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert prints.setdefault(text, row["fingerprint"]) == row["fingerprint"]
+        assert 0 <= row["near_edited"] <= 1 and 0 <= row["near_next"] <= 1
+    assert np.mean([r["near_edited"] for r in rows.values()]) > 0.7
+    assert np.mean([r["near_next"] for r in rows.values()]) < 0.1
+
+
+def test_language(spark):
+    folder = "/root/testdata/sf0.01"
+    langs = dict(connect(folder).execute("SELECT doc_id, lang FROM documents").fetchall())
+    rows = QUERIES["op5_language"](spark, folder).collect()
+    assert len(rows) == len(langs)
+    unseen = [r for r in rows if r["held_out"]]
+    assert np.mean([r["lang_pred"] == langs[r["doc_id"]] for r in unseen]) > 0.97
+
+
+def test_shards(spark, docs):
+    rows = QUERIES["op6_reshard"](spark, SF_DIR).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(d[0] for d in docs)
+    sizes, slots = Counter(), defaultdict(list)
+    for r in rows:
+        sizes[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert set(sizes) <= set(range(40))
+    assert max(sizes.values()) - min(sizes.values()) <= max(r["size"] for r in rows)
+
+
+@pytest.mark.parametrize(("name", "label", "least"), [("op9_toxicity", "toxic", 0.9), ("op10_quality", "quality", 0.95)])
+def test_classifier(spark, name, label, least):
+    folder = "/root/testdata/sf0.1"
+    con = connect(folder)
+    labels = dict(con.execute(f"SELECT doc_id, {label} FROM labels").fetchall())
+    rows = QUERIES[name](spark, folder).collect()
+    assert len(rows) == con.execute("SELECT count(*) FROM documents").fetchone()[0]
+    unseen = [(labels[r["doc_id"]], r["score"], r["predicted"]) for r in rows if r["held_out"] and r["doc_id"] in labels]
+    good = np.array([s for y, s, _ in unseen if y == 1])
+    bad = np.array([s for y, s, _ in unseen if y == 0])
+    assert (good[:, None] > bad).mean() + (good[:, None] == bad).mean() / 2 > least
+    assert np.mean([y == p for y, _, p in unseen]) > 0.95

@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import random
+from itertools import product
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from salesmart.llm import samples, toxicity
+
+WORDS = "the cat sat with an idiot near some stupid trash and a pathetic clown beside worthless scum".split()
+
+
+@pytest.fixture(scope="module")
+def restorer():
+    draw = random.Random(0)
+    texts = [" ".join(draw.choice(WORDS) for _ in range(200)) for _ in range(20)]
+    return toxicity.Restorer(toxicity.log_probabilities(toxicity.gram_counts(texts)))
+
+
+@pytest.mark.parametrize(
+    ("seen", "meant"),
+    [
+        ("you 1d10t here", "you idiot here"),
+        ("i d i o t", "idiot"),
+        ("C.L.O.W.N!", "clown!"),
+        ("stuuuupid", "stupid"),
+        ("tr@sh!! and $cum", "trash!! and scum"),
+        ("p-a-t-h-e-t-i-c", "pathetic"),
+        ("1 d 1 0 t", "idiot"),
+        ("i d i o t c l o w n", "idiot clown"),
+        ("plain words, 12 of 2024", "plain words, 12 of 2024"),
+        ("", ""),
+        (None, ""),
+    ],
+)
+def test_restored(restorer, seen, meant):
+    assert restorer.restore(seen) == meant
+
+
+def test_decoding_is_the_best_of_all_readings(restorer):
+    table = np.array(restorer.table).reshape((27,) * 4)
+
+    def value(codes, cost):
+        context, total = (0, 0, 0), cost
+        for c in [*codes, 0]:
+            total += table[(*context, c)]
+            context = (*context[1:], c)
+        return total
+
+    for seen in ("1d10t", "5t1", "7r45h", "c10wn", "0a1"):
+        options = [[(ord(c) - 96, toxicity.SIGN) for c in toxicity.MEANT[s]] if s in toxicity.MEANT else [(ord(s) - 96, 0.0)] for s in seen]
+        readings = [([c for c, _ in r], sum(k for _, k in r)) for r in product(*options)]
+        best = max(readings, key=lambda r: value(*r))[0]
+        assert restorer.decode(seen, False) == "".join(chr(c + 96) for c in best)
+
+
+def test_counts_against_a_loop():
+    text = "Ab, été a\nb0b"
+    want = np.zeros(27**4, int)
+    for word in ["ab", "ete", "a", "b", "b"]:
+        codes = [0, 0, 0, *(ord(c) - 96 for c in word), 0]
+        for i in range(3, len(codes)):
+            want[((codes[i - 3] * 27 + codes[i - 2]) * 27 + codes[i - 1]) * 27 + codes[i]] += 1
+    assert (toxicity.gram_counts([text, None, ""]) == want).all()
+    assert np.allclose(np.exp(toxicity.log_probabilities(want.astype(float))).reshape(-1, 27).sum(axis=1), 1, atol=1e-4)
+
+
+def corpus(make_docs, n=600):
+    draw = random.Random(1)
+    rows, labels = [], []
+    for i in range(n):
+        toxic = i % 5 == 0
+        words = [f"word{chr(97 + draw.randrange(25))}x" for _ in range(20)] + (["idiot"] if toxic else [])
+        draw.shuffle(words)
+        rows.append((i, " ".join(words), None, None, None))
+        labels.append((i, int(toxic)))
+    return make_docs(rows), labels
+
+
+def test_learns_and_sees_through_disguise(spark, make_docs):
+    docs, labels = corpus(make_docs)
+    sample = samples.labelled(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), "toxic", 10_000)
+    trained = toxicity.train(docs, sample)
+    new = make_docs([(1, "wordbx 1d10t wordcx", None, None, None), (2, "wordbx wordcx", None, None, None), (3, "an i d i o t", None, None, None)])
+    got = {r["doc_id"]: r for r in toxicity.score(new, trained, restored=True).collect()}
+    assert got[1]["score"] > 0.5 > got[2]["score"] and got[3]["score"] > 0.5
+    assert got[1]["restored"] == "wordbx idiot wordcx"
+
+
+def test_sample_is_bounded_and_repeats(spark, make_docs):
+    docs, labels = corpus(make_docs, 100)
+    odd = [(1, None), (None, 1), (2, 7), (3, 0), (3, 1)]
+    known = spark.createDataFrame(labels[10:] + odd, "doc_id long, toxic int")
+    first = samples.labelled(docs, known, "toxic", 40).collect()
+    assert len(first) == 40
+    assert sorted(first) == sorted(samples.labelled(docs.repartition(5), known.repartition(3), "toxic", 40).collect())
+    assert samples.labelled(docs, known, "toxic", 1000).count() == 91
+
+
+def test_awkward_rows(spark, make_docs, awkward, clashing, no_docs):
+    docs, labels = corpus(make_docs)
+    trained = toxicity.train(docs, samples.labelled(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), "toxic", 1000))
+    rows = toxicity.score(awkward, trained).collect()
+    assert len(rows) == awkward.count() and all(0 <= r["score"] < 0.5 for r in rows)
+    again = toxicity.score(clashing, trained)
+    assert again.columns.count("score") == 1 and again.count() == len(rows)
+    assert toxicity.score(no_docs, trained).collect() == []
+    none = no_docs.select("text", F.lit(1).alias("toxic"))
+    assert {r["score"] for r in toxicity.score(awkward, toxicity.train(no_docs, none)).collect()} == {0.0}

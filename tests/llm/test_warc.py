@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import gzip
+import hashlib
+
+import pytest
+
+from salesmart.llm import warc
+
+PAGES = "page_id long, url string, html string"
+BODY = "<p>" + "word " * 40
+
+
+def member(i, html=BODY, first=None):
+    return warc.record(i, f"http://x/{i}", html, hashlib.sha256(html.encode()).hexdigest(), first)
+
+
+def parts(data):
+    return [(a, b, reason) for a, b, reason, _, _ in warc.salvage(data)]
+
+
+def plain(*members):
+    return b"".join(gzip.decompress(m) for m in members)
+
+
+def test_whole_archive():
+    members = [member(i) for i in range(3)]
+    found = parts(b"".join(members) + b"\0")
+    assert [r for *_, r in found] == [None] * 3
+    assert found[-1][1] == sum(map(len, members))
+    assert gzip.decompress(b"".join(members) + b"\0") == plain(*members)
+
+
+@pytest.mark.parametrize("at", [0, 2, 30, -6, -1])
+def test_damaged_member_is_skipped(at):
+    members = [bytearray(member(i)) for i in range(3)]
+    members[1][at] ^= 0xFF
+    data = b"".join(members)
+    first, second = len(members[0]), len(members[0]) + len(members[1])
+    found = parts(data)
+    assert [(a, b) for a, b, r in found if r is None] == [(0, first), (second, len(data))]
+    assert [(a, b) for a, b, r in found if r] == [(first, second)]
+
+
+def test_truncated_and_foreign_bytes():
+    a, b = member(1), member(2)
+    assert [(x, y, r is None) for x, y, r in parts(a + b[:-20])] == [(0, len(a), True), (len(a), len(a) + len(b) - 20, False)]
+    assert [(x, y, r is None) for x, y, r in parts(b"junk" + a)] == [(0, 4, False), (4, 4 + len(a), True)]
+    assert [(x, y, r is None) for x, y, r in parts(b"junk")] == [(0, 4, False)]
+    assert parts(b"") == [] and parts(b"\0\0") == []
+
+
+def test_member_that_holds_another_content():
+    good, other = member(1), gzip.compress(b"no record")
+    assert [(x, y, r is None) for x, y, r in parts(other + good)] == [(0, len(other), False), (len(other), len(other) + len(good), True)]
+
+
+def test_plain_archive_goes_on_at_the_next_version_line():
+    a, b, c = (plain(member(i)) for i in range(3))
+    damaged = b.replace(b"word", b"wurd", 1)
+    found = parts(a + damaged + c)
+    assert [(x, y) for x, y, r in found if r is None] == [(0, len(a)), (len(a) + len(b), len(a + b + c))]
+    assert [r for *_, r in found if r] == ["block digest differs"]
+    # A version line inside a payload does not begin a record.
+    odd = plain(member(4, "x\nWARC/1.1\r\nContent-Length: 3\r\n" + BODY))
+    assert [(x, y, r) for x, y, r in parts(odd + c)] == [(0, len(odd), None), (len(odd), len(odd) + len(c), None)]
+
+
+def test_ids_can_be_read_back():
+    for page in (0, 5, -3, 2**63 - 1, -(2**63)):
+        assert warc.page_of(warc.record_id(page, "0" * 64)) == page
+    assert warc.page_of(warc.record_id(None, "f" * 64)) is None
+    assert warc.page_of(None) is None and warc.page_of("<urn:other>") is None
+
+
+def test_round_trip_with_copies(spark):
+    rows = [(i, "http://x/\r\n" if i % 2 else None, BODY) for i in range(20)]
+    rows += [(100, "u", "short"), (101, "u", "short"), (102, None, None), (103, "u", ""), (104, "u", "é" * 50 + "\r\n\r\n")]
+    rows += [(None, "u", BODY), (7, "u", BODY)]
+    found = warc.archived(spark.createDataFrame(rows, PAGES).withColumnsRenamed({})).collect()
+    assert {r["kind"] for r in found} == {"record"} and len(found) == len(rows)
+    digest = hashlib.sha256(BODY.encode()).hexdigest()
+    same = [r for r in found if r["payload_digest"] == digest]
+    assert len(same) == 22 and {r["payload_bytes"] for r in same} == {len(BODY)}
+    firsts = [r for r in same if r["record_type"] == "response"]
+    assert [warc.page_of(r["record_id"]) for r in firsts] == [0]
+    assert {warc.page_of(r["refers_to"]) for r in same if r["record_type"] == "revisit"} == {0}
+    rest = [r for r in found if r["payload_digest"] != digest]
+    assert {r["record_type"] for r in rest} == {"response"}
+    assert sorted(r["payload_bytes"] for r in rest) == [0, 0, 5, 5, 104]
+
+
+def test_payloads_and_gaps_through_spark(spark, tmp_path):
+    members = [member(i, f"page {i} é") for i in range(4)]
+    broken = bytearray(members[1])
+    broken[25] ^= 1
+    (tmp_path / "a.warc.gz").write_bytes(members[0] + bytes(broken) + members[2])
+    (tmp_path / "b.warc").write_bytes(plain(members[3]))
+    rows = warc.read_archives(spark, str(tmp_path)).collect()
+    assert sorted(bytes(r["payload"]).decode() for r in rows if r["kind"] == "record") == ["page 0 é", "page 2 é", "page 3 é"]
+    gap = [r for r in rows if r["kind"] == "gap"]
+    assert [(r["start"], r["end"]) for r in gap] == [(len(members[0]), len(members[0]) + len(broken))]
+
+
+def test_small_archives_and_empty_table(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"page {i}") for i in range(30)], PAGES)
+    warc.write_archives(pages.coalesce(1), str(tmp_path / "small"), archive_bytes=1000)
+    files = [p for p in (tmp_path / "small").iterdir() if p.name.startswith("part-")]
+    assert len(files) > 5
+    assert warc.read_archives(spark, str(tmp_path / "small")).where("kind = 'record'").count() == 30
+    assert warc.archived(spark.createDataFrame([], PAGES)).count() == 0
