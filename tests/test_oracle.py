@@ -5,9 +5,11 @@ from comparing import connect, spark_result, sql_result
 from conftest import SF_DIR
 
 import __spark_entry__ as entry_points
+from salesmart import oracle
+from salesmart.plans import catalog
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,8 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 SQL_TYPES = {
