@@ -1,31 +1,40 @@
-"""Dashboard figures, read from the two marts."""
+"""Dashboard figures, read from the marts and the visits."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.functions.amounts import percent_of
+from salesmart.functions.amounts import mean_rounded, percent_of, total
+from salesmart.functions.dates import month_start
 
 
 def dash_kpis(venues: DataFrame, *, region: str | None = None, city: str | None = None) -> DataFrame:
     """Net revenue, units and discounts, for one region or city if given."""
-    for column, chosen in (("region", region), ("city", city)):
-        if chosen is not None:
-            venues = venues.filter(F.col(column) == chosen)
-    return venues.agg(
-        F.sum("total_net_revenue").alias("net_revenue"),
+    return _chosen(venues, region, city).agg(
+        total("total_net_revenue").alias("net_revenue"),
         F.sum("total_units_sold").alias("units_sold"),
-        F.sum("total_discounts_given").alias("total_discounts"),
+        total("total_discounts_given").alias("total_discounts"),
     )
 
 
-def dash_category(venues: DataFrame) -> DataFrame:
-    return venues.groupBy("category").agg(F.sum("total_net_revenue").alias("net_revenue"))
+def dash_category(venues: DataFrame, *, region: str | None = None, city: str | None = None) -> DataFrame:
+    """Net revenue by category, for one region or city if given."""
+    chosen = _chosen(venues, region, city)
+    return chosen.groupBy("category").agg(total("total_net_revenue").alias("net_revenue"))
 
 
-def dash_city_type(venues: DataFrame) -> DataFrame:
-    return venues.groupBy("city", "venue_type").agg(F.sum("total_net_revenue").alias("net_revenue"))
+def dash_city_type(venues: DataFrame, *, region: str | None = None, city: str | None = None) -> DataFrame:
+    """Net revenue by city and venue type, for one region or city if given."""
+    chosen = _chosen(venues, region, city)
+    return chosen.groupBy("city", "venue_type").agg(total("total_net_revenue").alias("net_revenue"))
+
+
+def _chosen(venues: DataFrame, region: str | None, city: str | None) -> DataFrame:
+    for column, value in (("region", region), ("city", city)):
+        if value is not None:
+            venues = venues.filter(F.col(column) == value)
+    return venues
 
 
 def dash_loyalty_share(retention: DataFrame) -> DataFrame:
@@ -39,19 +48,17 @@ def dash_loyalty_share(retention: DataFrame) -> DataFrame:
     )
 
 
-def dash_revenue_trend(retention: DataFrame) -> DataFrame:
-    """Revenue and average booking value by month.
+def dash_revenue_trend(visits: DataFrame) -> DataFrame:
+    """Revenue and average net amount per visit by month.
 
-    The average is taken again over all bookings of the month; averaging the
-    mart's averages would weigh a small segment like a large one.
+    Takes staged sales or a visit history, not the retention mart: the mart
+    counts distinct ids, and an average over them is wrong where ids repeat.
     """
     return (
-        retention.groupBy("forecast_month")
+        visits.groupBy(month_start(F.col("transaction_ts")).alias("forecast_month"))
         .agg(
-            F.sum("realized_revenue").alias("realized_revenue"),
-            F.round(F.sum("realized_revenue") / F.sum("total_bookings"), 2).alias(
-                "customer_lifetime_value_increment"
-            ),
+            total("net_amount").alias("realized_revenue"),
+            mean_rounded("net_amount", 2).alias("customer_lifetime_value_increment"),
         )
         .orderBy("forecast_month")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.functions.amounts import mean, mean_rounded
+from salesmart.functions.amounts import mean, mean_rounded, total
 from salesmart.functions.dates import day_gap, month_start
 from salesmart.functions.guests import CUSTOMER_BANDS, SEGMENT_BANDS, LoyaltyBands, segment_key
 from salesmart.operators.numbering import ROWS_PER_TASK, visit_numbers
@@ -93,7 +93,7 @@ def fct_retention(history: DataFrame) -> DataFrame:
         )
         .agg(
             F.count_distinct("transaction_id").alias("total_bookings"),
-            F.sum("net_amount").alias("realized_revenue"),
+            total("net_amount").alias("realized_revenue"),
             mean("days_since_last_visit").alias("average_days_between_visit"),
             mean_rounded("net_amount", 2).alias("customer_lifetime_value_increment"),
         )

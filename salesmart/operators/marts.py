@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.functions.amounts import mean
+from salesmart.functions.amounts import mean_money, total
 from salesmart.schema import VENUE
 
 
@@ -18,9 +18,9 @@ def fct_venue_performance(staged: DataFrame) -> DataFrame:
     return staged.groupBy(*VENUE, "category", "item_name", "day_of_week", "month").agg(
         F.sum("quantity").alias("total_units_sold"),
         F.count_distinct("transaction_id").alias("total_transactions"),
-        F.sum("gross_amount").alias("total_gross_revenue"),
-        F.sum("discount_amount").alias("total_discounts_given"),
-        F.sum("net_amount").alias("total_net_revenue"),
-        mean("unit_price").alias("average_item_price"),
+        total("gross_amount").alias("total_gross_revenue"),
+        total("discount_amount").alias("total_discounts_given"),
+        total("net_amount").alias("total_net_revenue"),
+        mean_money("unit_price").alias("average_item_price"),
         F.max("loaded_at").alias("last_pipeline_update"),
     )

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.functions.amounts import div0, mean, percent_of
-from salesmart.operators.numbering import ROWS_PER_TASK, rank_descending
+from salesmart.functions.amounts import mean_money, percent_of, quotient, total
+from salesmart.operators.numbering import rank_descending
 from salesmart.schema import ITEM, VENUE
 
 
@@ -21,8 +21,8 @@ def daily_revenue_weekend_split(sales: DataFrame) -> DataFrame:
     weekend = F.col("is_weekend")
     return _daily(
         sales,
-        F.sum(F.when(weekend, F.col("net_amount")).otherwise(0)).alias("weekend_revenue"),
-        F.sum(F.when(~weekend, F.col("net_amount")).otherwise(0)).alias("weekday_revenue"),
+        total(F.when(weekend, F.col("net_amount")).otherwise(0)).alias("weekend_revenue"),
+        total(F.when(~weekend, F.col("net_amount")).otherwise(0)).alias("weekday_revenue"),
     )
 
 
@@ -30,29 +30,23 @@ def _daily(sales: DataFrame, *more) -> DataFrame:
     return sales.groupBy("transaction_date", *VENUE).agg(
         F.count("*").alias("transaction_count"),
         F.sum("quantity").alias("items_sold"),
-        F.sum("gross_amount").alias("gross_revenue"),
-        F.sum("discount_amount").alias("total_discounts"),
-        F.sum("net_amount").alias("net_revenue"),
-        mean("net_amount").alias("avg_transaction_value"),
+        total("gross_amount").alias("gross_revenue"),
+        total("discount_amount").alias("total_discounts"),
+        total("net_amount").alias("net_revenue"),
+        mean_money("net_amount").alias("avg_transaction_value"),
         *more,
     )
 
 
-def category_performance(sales: DataFrame, *, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def category_performance(sales: DataFrame) -> DataFrame:
     """Each item's sales and its revenue rank within the venue type."""
     items = sales.groupBy(*ITEM).agg(
         F.count("*").alias("times_ordered"),
         F.sum("quantity").alias("total_quantity"),
-        F.sum("net_amount").alias("total_revenue"),
-        mean("unit_price").alias("avg_price"),
-    )
-    return rank_descending(
-        items,
-        group="venue_type",
-        measure="total_revenue",
-        rank="revenue_rank_in_venue_type",
-        rows_per_task=rows_per_task,
+        total("net_amount").alias("total_revenue"),
+        mean_money("unit_price").alias("avg_price"),
     )
+    return rank_descending(items, group="venue_type", measure="total_revenue", rank="revenue_rank_in_venue_type")
 
 
 def top_items_ranked(sales: DataFrame, *, ranks: int = 10) -> DataFrame:
@@ -67,8 +61,8 @@ def top_items_ranked(sales: DataFrame, *, ranks: int = 10) -> DataFrame:
         .agg(
             F.count("*").alias("times_ordered"),
             F.sum("quantity").alias("total_quantity_sold"),
-            F.sum("net_amount").alias("total_revenue"),
-            mean("unit_price").alias("avg_unit_price"),
+            total("net_amount").alias("total_revenue"),
+            mean_money("unit_price").alias("avg_unit_price"),
         )
         .withColumn("revenue_rank", F.rank().over(best_first))
         .filter(F.col("revenue_rank") <= ranks)
@@ -80,7 +74,7 @@ def payment_split(sales: DataFrame) -> DataFrame:
     whole_type = Window.partitionBy("venue_type")
     return (
         sales.groupBy("payment_method", "venue_type")
-        .agg(F.count("*").alias("transaction_count"), F.sum("net_amount").alias("total_revenue"))
+        .agg(F.count("*").alias("transaction_count"), total("net_amount").alias("total_revenue"))
         .withColumn(
             "pct_of_venue_transactions",
             percent_of(F.col("transaction_count"), F.sum("transaction_count").over(whole_type)),
@@ -112,8 +106,8 @@ def venue_summary(
         .agg(
             F.count("*").alias("total_transactions"),
             F.sum("quantity").alias("total_items_sold"),
-            F.sum("net_amount").alias("total_net_revenue"),
-            mean("net_amount").alias("avg_transaction_value"),
+            total("net_amount").alias("total_net_revenue"),
+            mean_money("net_amount").alias("avg_transaction_value"),
             F.max("net_amount").alias("highest_transaction"),
             F.min("transaction_date").alias("first_date"),
             F.max("transaction_date").alias("last_date"),
@@ -130,8 +124,8 @@ def top_items(sales: DataFrame, *, venue_type: str | None = None, top_n: int = 1
         sales.groupBy(*ITEM)
         .agg(
             F.sum("quantity").alias("total_sold"),
-            F.sum("net_amount").alias("total_revenue"),
-            mean("unit_price").alias("avg_unit_price"),
+            total("net_amount").alias("total_revenue"),
+            mean_money("unit_price").alias("avg_unit_price"),
             F.count_distinct("transaction_date").alias("days_sold"),
         )
         .orderBy(F.desc("total_revenue"), *ITEM)
@@ -139,16 +133,21 @@ def top_items(sales: DataFrame, *, venue_type: str | None = None, top_n: int = 1
     )
 
 
-def monthly_trend(sales: DataFrame, *, year: int) -> DataFrame:
+def monthly_trend(sales: DataFrame, *, as_of: date | None = None, year: int | None = None) -> DataFrame:
     """One year by month and venue type with growth over the month before.
 
-    Growth is NULL without a month before or if it made nothing.  The year is
-    a date range so that it reaches the scan.
+    The year left out is that of ``as_of``.  Growth is NULL without a month
+    before or if it made nothing.  The year is a date range so that it reaches
+    the scan.
     """
+    if year is None:
+        if as_of is None:
+            raise ValueError("monthly_trend needs a year, or the day to take it from")
+        year = as_of.year
     in_year = F.col("transaction_date").between(date(year, 1, 1), date(year, 12, 31))
     previous = F.col("prev_month_revenue")
-    growth = F.lit(100) * (F.col("net_revenue") - previous) / F.nullif(previous, F.lit(0))
-    return _monthly(sales.filter(in_year)).withColumn("mom_growth_pct", F.round(growth, 1)).orderBy(
+    growth = F.when(previous != 0, _growth(previous))
+    return _monthly(sales.filter(in_year)).withColumn("mom_growth_pct", growth).orderBy(
         "venue_type", "month_num", "month"
     )
 
@@ -159,12 +158,18 @@ def monthly_trend_all_years(sales: DataFrame) -> DataFrame:
     Growth is 0 here if the month before made nothing.
     """
     previous = F.col("prev_month_revenue")
-    growth = div0(F.col("net_revenue") - previous, previous) * 100
-    return _monthly(sales).withColumn("mom_growth_pct", F.round(growth, 1)).orderBy(
+    zero = F.when((previous == 0) & F.col("net_revenue").isNotNull(), F.lit(0))
+    growth = F.when(previous != 0, _growth(previous)).otherwise(zero)
+    return _monthly(sales).withColumn("mom_growth_pct", growth).orderBy(
         "venue_type", "month_num", "month"
     )
 
 
+def _growth(previous: Column) -> Column:
+    """Percent with one place."""
+    return quotient((F.col("net_revenue") - previous) * 100, F.nullif(previous, F.lit(0)), 1)
+
+
 def _monthly(sales: DataFrame) -> DataFrame:
     # After the aggregate a venue type has one row per month of the year.
     by_month = Window.partitionBy("venue_type").orderBy("month_num", "month")
@@ -172,9 +177,9 @@ def _monthly(sales: DataFrame) -> DataFrame:
         sales.groupBy("month_num", "month", "venue_type")
         .agg(
             F.count("*").alias("transactions"),
-            F.sum("net_amount").alias("net_revenue"),
-            F.sum("discount_amount").alias("discounts_given"),
-            mean("net_amount").alias("avg_basket"),
+            total("net_amount").alias("net_revenue"),
+            total("discount_amount").alias("discounts_given"),
+            mean_money("net_amount").alias("avg_basket"),
         )
         .withColumn("prev_month_revenue", F.lag("net_revenue").over(by_month))
     )
@@ -186,7 +191,7 @@ def value_counts(sales: DataFrame, column: str) -> DataFrame:
 
 
 def total_revenue(sales: DataFrame) -> DataFrame:
-    return sales.agg(F.sum("net_amount").alias("total_revenue"))
+    return sales.agg(total("net_amount").alias("total_revenue"))
 
 
 def first_rows(sales: DataFrame, n: int = 3) -> DataFrame:

@@ -116,12 +116,33 @@ def test_dashboard(make_sales):
     assert dashboard.dash_city_type(venues).count() == 3
 
 
-def test_dashboard_weighs_by_bookings(make_sales):
+def test_dashboard_weighs_by_visits(make_sales):
     rows = visits_after(make_sales, 1 * DAY, 1 * DAY, net_amount="1.00")
     last = make_sales({"transaction_id": "X", "net_amount": "5.00", "transaction_ts": START, "city": "Leeds"})
-    mart = fct_retention(visit_history(stg_transactions(rows.union(last))))
-    trend = dashboard.dash_revenue_trend(mart).first()
-    # Segment averages are 3.00 and 1.00; per booking it is 8.00 / 4.
+    history = visit_history(stg_transactions(rows.union(last)))
+    mart = fct_retention(history)
+    trend = dashboard.dash_revenue_trend(history).first()
+    # Segment averages are 3.00 and 1.00; per visit it is 8.00 / 4.
     assert trend.customer_lifetime_value_increment == Decimal("2.00")
     shares = {tuple(r) for r in dashboard.dash_loyalty_share(mart).collect()}
     assert shares == {("New Guest", 2, 50.0), ("High-Frequency Loyal", 2, 50.0)}
+
+
+def test_repeated_ids_do_not_raise_the_average(make_sales):
+    amounts = [("A", "10.00"), ("B", "90.00"), ("B", "90.00")]
+    rows = make_sales(*[{"transaction_id": i, "net_amount": n} for i, n in amounts])
+    trend = dashboard.dash_revenue_trend(stg_transactions(rows)).first()
+    assert tuple(trend)[1:] == (Decimal("190.00"), Decimal("63.33"))
+
+
+def test_charts_for_one_region_or_city(make_sales):
+    rows = make_sales(
+        {"net_amount": "4.00"},
+        {"net_amount": "6.00", "city": "Leeds", "category": "Mains"},
+        {"net_amount": "2.00", "city": "York", "region": "South", "venue_type": "Hotel"},
+    )
+    venues = fct_venue_performance(stg_transactions(rows))
+    north = {tuple(r) for r in dashboard.dash_category(venues, region="North").collect()}
+    assert north == {("Starters", Decimal("4.00")), ("Mains", Decimal("6.00"))}
+    assert {tuple(r) for r in dashboard.dash_city_type(venues, city="York").collect()} == {("York", "Hotel", Decimal("2.00"))}
+    assert dashboard.dash_category(venues, region="South", city="Leeds").isEmpty()

@@ -142,6 +142,9 @@ def test_growth_over_nothing_and_over_a_gap(make_sales):
 def test_years_are_folded_only_without_a_year(make_sales):
     rows = make_sales(month(3, "1.00", 2023), month(3, "2.00", 2024))
     assert values(reports.monthly_trend(rows, year=2023), "net_revenue") == [(Decimal("1.00"),)]
+    assert values(reports.monthly_trend(rows, as_of=date(2023, 5, 1)), "net_revenue") == [(Decimal("1.00"),)]
+    with pytest.raises(ValueError, match="year"):
+        reports.monthly_trend(rows)
     assert values(reports.monthly_trend_all_years(rows), "net_revenue") == [(Decimal("3.00"),)]
 
 
