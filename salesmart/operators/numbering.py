@@ -1,9 +1,9 @@
 """Row numbers, previous values and ranks inside groups of any size.
 
 A window puts one group into one task.  That is the right plan while groups
-fit, so every function here first counts them.  Groups above ``rows_per_task``
-are cut into ordered parts that fit, each part is numbered on its own, and the
-totals of the parts before it are added.
+fit, so ``visit_numbers`` first counts them.  Groups above ``rows_per_task`` are
+cut into ordered parts that fit, as many as their rows ask for; each part is
+numbered on its own, and the totals of the parts before it are added.
 """
 
 from __future__ import annotations
@@ -20,6 +20,10 @@ ROWS_PER_TASK = 5_000_000
 # short enough that a key with billions of rows fits rows_per_task in each.
 PIECE_MINUTES = 15
 COPIES_PER_STEP = 100_000
+# Bands of a measure while it grows by a factor of e.
+BANDS_PER_E = 1000
+# Small tables with up to so many rows are broadcast; their number is counted.
+BROADCAST_ROWS = 100_000
 
 
 def visit_numbers(
@@ -44,12 +48,11 @@ def visit_numbers(
     if not n_large:
         return _numbered(rows, [key], order, ts, number, previous)
 
-    # At most (all rows / rows_per_task) keys, so broadcasting them is safe.
     large_keys = large_keys.select(F.col(key).alias("__large"), F.lit(True).alias("__is_large"))
     minute = F.unix_date(F.to_date(ts)) * 1440 + F.hour(ts) * 60 + F.minute(ts)
     piece = F.floor(minute / PIECE_MINUTES).cast("int")
     pieces = (
-        rows.join(F.broadcast(large_keys), F.col(key).eqNullSafe(F.col("__large")), "left")
+        rows.join(_small(large_keys, n_large), F.col(key).eqNullSafe(F.col("__large")), "left")
         # Never NULL, so that equal keys meet in ordinary equi-joins below.
         .withColumn("__group", F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit("")))
         .withColumn("__piece", F.when(F.col("__is_large"), F.coalesce(piece, F.lit(-(10**9)))).otherwise(0))
@@ -68,18 +71,16 @@ def visit_numbers(
         F.sum("__rows").over(earlier.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"),
         F.lag("__last").over(earlier).alias("__last_before"),
     )
-    # Again at most (all rows / rows_per_task) of them.
-    crowded, n_crowded = store_counted(
-        sizes.filter(F.col("__rows") > rows_per_task).select(*group), "crowded-pieces"
-    )
+    crowded, n_crowded = store_counted(sizes.filter(F.col("__rows") > rows_per_task), "crowded-pieces")
 
     if not n_crowded:
         parts = [_numbered(pieces, group, order, ts, number, previous)]
     else:
-        crowded = F.broadcast(crowded)
+        slices = -(-crowded.agg(F.sum("__rows")).first()[0] // rows_per_task)
+        crowded = _small(crowded.select(*group), n_crowded)
         parts = [
             _numbered(pieces.join(crowded, group, "left_anti"), group, order, ts, number, previous),
-            _numbered_in_slices(pieces.join(crowded, group, "left_semi"), group, order, ts, number, previous),
+            _numbered_in_slices(pieces.join(crowded, group, "left_semi"), group, order, ts, number, previous, slices),
         ]
     finished = [
         part.join(offsets, group, "left").select(
@@ -92,34 +93,47 @@ def visit_numbers(
     return reduce(DataFrame.unionByName, finished)
 
 
-def rank_descending(
-    rows: DataFrame,
-    *,
-    group: str,
-    measure: str,
-    rank: str,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+def rank_descending(rows: DataFrame, *, group: str, measure: str, rank: str) -> DataFrame:
     """Add ``RANK()`` of ``measure`` within ``group``, largest first.
 
-    ``rows`` is an aggregate; it is stored once because its size decides how
-    to rank it.
+    Nothing runs when this is called.  The rank of a value is one more than the
+    rows that hold a larger one, so distinct values are ranked, weighted by
+    their rows.  Values fall in bands that follow the order of the measure: a
+    window numbers the values of one band, and the rows of the bands above it
+    are added from a table with a row for each band.
     """
-    rows, n_rows = store_counted(rows, "to-rank")
-    large = rows.groupBy(group).count().filter(F.col("count") > rows_per_task)
-    if n_rows <= rows_per_task or large.isEmpty():
-        largest_first = Window.partitionBy(group).orderBy(F.desc(measure))
-        return rows.withColumn(rank, F.rank().over(largest_first))
-
-    # The rank of a value is one more than the rows holding a larger one, so
-    # rank the distinct values, weighted by their rows.
-    values = rows.groupBy(group, measure).agg(F.count("*").alias("__weight"))
-    ranked = _first_numbers(values, [group], [F.desc(measure)], "__weight", rank)
-    ranked = ranked.select(F.col(group).alias("__group"), F.col(measure).alias("__value"), F.col(rank).cast("int"))
+    values = rows.groupBy(group, measure).agg(F.count("*").alias("__weight")).withColumn("__band", _band(measure))
+    part = [F.col(group), F.col("__band")]
+    above = Window.partitionBy(*part).orderBy(F.desc(measure)).rowsBetween(Window.unboundedPreceding, -1)
+    numbered = values.withColumn("__above", F.coalesce(F.sum("__weight").over(above), F.lit(0)))
+    bands = values.groupBy(F.col(group).alias("__of"), F.col("__band").alias("__in")).agg(F.sum("__weight").alias("__rows"))
+    higher = Window.partitionBy("__of").orderBy(F.desc("__in")).rowsBetween(Window.unboundedPreceding, -1)
+    bands = bands.select("__of", "__in", F.coalesce(F.sum("__rows").over(higher), F.lit(0)).alias("__before"))
+    in_band = F.col(group).eqNullSafe(F.col("__of")) & (F.col("__band") == F.col("__in"))
+    ranked = numbered.join(bands, in_band).select(
+        F.col(group).alias("__group"),
+        F.col(measure).alias("__value"),
+        (F.col("__before") + F.col("__above") + 1).cast("int").alias(rank),
+    )
     same = F.col(group).eqNullSafe(F.col("__group")) & F.col(measure).eqNullSafe(F.col("__value"))
     return rows.join(ranked, same).select(*rows.columns, rank)
 
 
+def _band(measure: str) -> Column:
+    """A whole number that never falls as the measure grows; NULL is lowest.  At
+    most a few hundred thousand bands cover every number, each a tenth of a
+    percent wide or less."""
+    value = F.col(measure).cast("double")
+    band = F.floor(F.signum(value) * F.log1p(F.abs(value) * 100) * BANDS_PER_E)
+    return F.coalesce(band, F.lit(-(2**40)))
+
+
+def _small(table: DataFrame, n: int) -> DataFrame:
+    """``table`` of ``n`` rows, sent to all tasks if that is few; else the planner
+    decides, and a shuffled join works as well."""
+    return F.broadcast(table) if n <= BROADCAST_ROWS else table
+
+
 def _numbered(
     rows: DataFrame, group: list[str], order: list[str], ts: str, number: str, previous: str
 ) -> DataFrame:
@@ -132,15 +146,16 @@ def _numbered(
 
 
 def _numbered_in_slices(
-    rows: DataFrame, group: list[str], order: list[str], ts: str, number: str, previous: str
+    rows: DataFrame, group: list[str], order: list[str], ts: str, number: str, previous: str, slices: int
 ) -> DataFrame:
-    """Number rows crowded into one piece, however many share one moment.
+    """Number rows crowded into one piece, however many share one moment, in
+    ``slices`` parts of about the same size.
 
     Exact copies become one row with a count, after which the order has no
     ties and range partitioning can cut anywhere.  Copies are restored last.
     """
     distinct = rows.groupBy(*rows.columns).agg(F.count("*").alias("__copies"))
-    firsts = _first_numbers(distinct, group, [F.asc(c) for c in order], "__copies", number, ts, previous)
+    firsts = _first_numbers(distinct, group, [F.asc(c) for c in order], "__copies", number, ts, previous, slices)
 
     single = firsts.filter("__copies = 1").drop("__copies")
     repeated = (
@@ -171,6 +186,7 @@ def _first_numbers(
     number: str,
     carry: str | None = None,
     previous: str | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Give each row one more than the weights before it in its group.
 
@@ -188,7 +204,7 @@ def _first_numbers(
         added.append(F.lag(carry).over(within).alias(previous))
     # Stored, because which row is in which slice must not be decided twice.
     sliced = store(
-        rows.repartitionByRange(*group, *order).withColumn("__slice", F.spark_partition_id()).select("*", *added),
+        _in_ranges(rows, slices, *group, *order).withColumn("__slice", F.spark_partition_id()).select("*", *added),
         "slices",
     )
 
@@ -197,7 +213,7 @@ def _first_numbers(
     )
     earlier = Window.partitionBy(*group).orderBy("__slice")
     # Only the first group of a slice can have begun before it: one row per
-    # slice at most, whatever the data, so this side can be broadcast.
+    # slice at most, whatever the data.
     begun = totals.select(
         *[F.col(c).alias(f"__begun_{c}") for c in part],
         F.sum("__weight").over(earlier.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"),
@@ -205,10 +221,15 @@ def _first_numbers(
     ).filter("__before IS NOT NULL")
 
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__begun_{c}")) for c in part])
-    result = sliced.join(F.broadcast(begun), same, "left")
+    result = sliced.join(_small(begun, slices or 0), same, "left")
     columns = [F.col(c) for c in rows.columns]
     if carry:
         first = F.col(number) == 1
         columns.append(F.when(first, F.col("__last_before")).otherwise(F.col(previous)).alias(previous))
     columns.append((F.col(number) + F.coalesce("__before", F.lit(0))).alias(number))
     return result.select(*columns)
+
+
+def _in_ranges(rows: DataFrame, n: int | None, *columns: Column | str) -> DataFrame:
+    """Even ordered slices: ``n`` of them, or as many as the session shuffles into."""
+    return rows.repartitionByRange(n, *columns) if n else rows.repartitionByRange(*columns)

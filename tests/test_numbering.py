@@ -105,19 +105,54 @@ def test_slices_are_many(spark):
     assert sizes.count() == 8
 
 
-@pytest.mark.parametrize("limit", [1, 10, 1000])
-def test_rank_with_ties(spark, limit):
+@pytest.mark.parametrize("per_e", [1, 1000])
+def test_rank_with_ties(spark, monkeypatch, per_e):
+    monkeypatch.setattr(numbering, "BANDS_PER_E", per_e)
     rows = [("Pub", v % 11) for v in range(60)] + [("Pub", 3)] * 200 + [("Hotel", v) for v in range(5)]
-    rows += [("Pub", None), (None, 4), (None, 4), (None, 9)]
+    rows += [("Pub", None), (None, 4), (None, 4), (None, 9), ("Pub", -5), ("Pub", -5), ("Pub", -700), ("Pub", 10**9)]
     df = spark.createDataFrame(rows, "t string, v int")
     plain = df.withColumn("r", F.rank().over(Window.partitionBy("t").orderBy(F.desc("v"))))
-    same(rank_descending(df, group="t", measure="v", rank="r", rows_per_task=limit).select("t", "v", "r"), plain)
+    same(rank_descending(df, group="t", measure="v", rank="r").select("t", "v", "r"), plain)
 
 
-def test_category_performance_cut(fact):
-    plain, cut = category_performance(fact), category_performance(fact, rows_per_task=50)
-    assert cut.dtypes == plain.dtypes
-    assert cut.exceptAll(plain).isEmpty() and plain.exceptAll(cut).isEmpty()
+def test_category_performance_is_one_rank(spark, fact):
+    ranked = category_performance(fact)
+    best_first = Window.partitionBy("venue_type").orderBy(F.desc("total_revenue"))
+    plain = ranked.withColumn("revenue_rank_in_venue_type", F.rank().over(best_first))
+    assert ranked.dtypes == plain.dtypes
+    assert ranked.exceptAll(plain).isEmpty() and plain.exceptAll(ranked).isEmpty()
+
+
+def test_ranking_starts_no_job(spark, fact):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("ranking", "call only")
+    category_performance(fact)
+    assert list(tracker.getJobIdsForGroup("ranking")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_slices_have_the_asked_size(spark, monkeypatch):
+    stored = []
+    keep = numbering.store
+
+    def kept(df, name):
+        stored.append((name, keep(df, name)))
+        return stored[-1][1]
+
+    monkeypatch.setattr(numbering, "store", kept)
+    df = visits(spark, [("hot", START, f"{i:05d}", i) for i in range(20_000)])
+    numbered(df, 1000).count()
+    sizes = [r["count"] for name, t in stored if name == "slices" for r in t.groupBy("__slice").count().collect()]
+    assert len(sizes) >= 18 and max(sizes) < 1500
+
+
+def test_low_broadcast_limit_gives_equal_rows(spark, monkeypatch):
+    rows = [(f"k{i % 3}", START + timedelta(minutes=i % 40), f"a{i}", 1) for i in range(900)] + [("k0", START, "c", 1)] * 60
+    df = visits(spark, rows)
+    monkeypatch.setattr(numbering, "BROADCAST_ROWS", 0)
+    result = numbered(df, 50)
+    assert "ResolvedHint" not in result._jdf.queryExecution().analyzed().toString()
+    same(result, with_one_window(df))
 
 
 def test_rows_are_counted_while_stored(spark):
