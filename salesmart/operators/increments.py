@@ -29,7 +29,8 @@ def incremental_extract(sales: DataFrame, *, as_of: datetime, window: timedelta
 def latest_per_transaction(sales: DataFrame, *, key: str = "transaction_id") -> DataFrame:
     """The row loaded last for each id; equal rows count once.
 
-    An aggregate, not a window: copies of an id merge before the shuffle.
+    An aggregate, not a window: rows of one id that a task reads merge before the
+    shuffle.  Rows are sorted for it at their full width.
     """
     rest = [c for c in sales.columns if c not in (key, "loaded_at")]
     newest = F.max(F.struct("loaded_at", *rest)).alias("newest")
@@ -39,7 +40,9 @@ def latest_per_transaction(sales: DataFrame, *, key: str = "transaction_id") ->
 def not_yet_copied(batch: DataFrame, target: DataFrame, *, as_of: datetime, window: timedelta = WINDOW) -> DataFrame:
     """Rows of ``batch`` that ``target`` lacks, one per id.
 
-    Only the part of ``target`` inside the window is compared.
+    Only the part of ``target`` inside the window is compared, by id and time of
+    loading: a row stamped again is a new version and is appended next to the old
+    one.  ``latest_per_transaction`` takes the newest when reading.
     """
     copied = incremental_extract(target, as_of=as_of, window=window).select("transaction_id", "loaded_at").distinct()
     return latest_per_transaction(batch).join(copied, ["transaction_id", "loaded_at"], "left_anti").select(

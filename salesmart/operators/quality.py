@@ -44,19 +44,37 @@ def accepted_values(rows: DataFrame, column: str, values: Sequence[str] = VENUE_
 
 
 def source_tests(rows: DataFrame) -> DataFrame:
-    """The five tests on the raw table: failures and PASS or FAIL of each."""
-    missing = {f"not_null_{c}": F.count(F.when(F.col(c).isNull(), 1)) for c in REQUIRED}
-    unaccepted = F.count_distinct(F.when(~F.col("venue_type").isin(*VENUE_TYPES), F.col("venue_type")))
-    counted = rows.agg(
-        *[n.alias(name) for name, n in missing.items()], unaccepted.alias("accepted_values_venue_type")
-    ).unpivot([], [*missing, "accepted_values_venue_type"], "test_name", "failures")
-    repeated = unique(rows, "transaction_id").agg(F.count("*").alias("failures"))
+    """The five tests on the raw table: failures and PASS or FAIL of each.
+
+    One scan: ids and the venue types that are not accepted are counted as
+    values of two kinds, and what is missing is summed along with the ids.
+    """
+    missing = {f"not_null_{c}": F.col(c).isNull().cast("bigint") for c in REQUIRED}
+    nothing = {name: F.lit(0).cast("bigint") for name in missing}
+    id_entry = _entry("id", F.col("transaction_id").cast("string"), missing)
+    venue_entry = F.when(~F.col("venue_type").isin(*VENUE_TYPES), _entry("venue", F.col("venue_type"), nothing))
+    by_value = (
+        rows.select(F.explode(F.array_compact(F.array(id_entry, venue_entry))).alias("entry"))
+        .select("entry.*")
+        .groupBy("kind", "value")
+        .agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in missing])
+    )
+    repeated = (F.col("kind") == "id") & F.col("value").isNotNull() & (F.col("n") > 1)
+    tests = {name: F.coalesce(F.sum(name), F.lit(0)) for name in missing} | {
+        "accepted_values_venue_type": F.count_if(F.col("kind") == "venue"),
+        "unique_transaction_id": F.count_if(repeated),
+    }
     return (
-        counted.unionByName(repeated.withColumn("test_name", F.lit("unique_transaction_id")))
+        by_value.agg(*[n.cast("bigint").alias(name) for name, n in tests.items()])
+        .unpivot([], [*tests], "test_name", "failures")
         .withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
     )
 
 
+def _entry(kind: str, value: Column, counters: dict[str, Column]) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), value.alias("value"), *[n.alias(c) for c, n in counters.items()])
+
+
 def dq_summary(rows: DataFrame) -> DataFrame:
     """One row of counters and PASSED or FAILED.
 
