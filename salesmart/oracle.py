@@ -198,6 +198,19 @@ def _percent(part: str, whole: str) -> str:
     return f"CAST((2000 * CAST({part} AS HUGEINT) + {whole}) // (2 * {whole}) AS DOUBLE) / 10"
 
 
+RETENTION_SHOWN = f"""
+SELECT {_text('forecast_month')}, venue_type, customer_loyalty_segment, {_count('bookings', 'total_bookings')},
+  {_money('revenue', 'realized_revenue')}, gap AS average_days_between_visit,
+  {_mean_cents('revenue', 'n')} AS customer_lifetime_value_increment
+FROM retention"""
+
+REVENUE_TREND = f"""
+SELECT {_text('forecast_month')}, {_money('revenue', 'realized_revenue')},
+  {_mean_cents('revenue', 'n')} AS customer_lifetime_value_increment
+FROM (SELECT CAST(date_trunc('month', transaction_ts) AS DATE) AS forecast_month, sum(net_amount) AS revenue,
+        CAST(count(*) AS HUGEINT) AS n
+      FROM sales GROUP BY 1)"""
+
 # Rows whose id repeats and whose amount is missing at the largest quantity.
 FLAWED = """
 flawed AS (
@@ -285,6 +298,7 @@ FROM sales WHERE venue_type = 'Pub'
 GROUP BY venue_type, category, item_name
 ORDER BY sum(net_amount) DESC, venue_type, category, item_name LIMIT 5"""),
         "monthly_trend": _monthly("WHERE year(transaction_date) = 1998", "NULL"),
+        "monthly_trend_default": _monthly("WHERE year(transaction_date) = 2000", "NULL"),
         "monthly_trend_all_years": _monthly("", "0"),
         "fct_venue_performance": _query(f"""
 SELECT venue_id, venue_name, venue_type, city, region, category, item_name, day_of_week, month,
@@ -298,15 +312,8 @@ SELECT venue_id, venue_name, venue_type, city, region, category, item_name, day_
 FROM sales GROUP BY venue_id, venue_name, venue_type, city, region, category, item_name, day_of_week, month"""),
         "visit_history": _query(_history_shown("customer_surrogate_id", "previous_transaction_ts"), SEGMENT_HISTORY),
         "visit_history_by_customer": _query(_history_shown("customer_id", "previous_visit_ts"), CUSTOMER_HISTORY),
-        "fct_retention": _query(
-            f"""
-SELECT {_text('forecast_month')}, venue_type, customer_loyalty_segment, {_count('bookings', 'total_bookings')},
-  {_money('revenue', 'realized_revenue')}, gap AS average_days_between_visit,
-  {_mean_cents('revenue', 'n')} AS customer_lifetime_value_increment
-FROM retention""",
-            SEGMENT_HISTORY,
-            RETENTION,
-        ),
+        "fct_retention": _query(RETENTION_SHOWN, SEGMENT_HISTORY, RETENTION),
+        "fct_retention_by_customer": _query(RETENTION_SHOWN, CUSTOMER_HISTORY, RETENTION),
         "venue_breakdown": _query(
             f"SELECT venue_name, {_count('count(*)', 'transactions')} FROM sales GROUP BY venue_name"),
         "category_breakdown": _query(
@@ -355,6 +362,12 @@ SELECT {_money('sum(net_amount)', 'net_revenue')}, {_count('sum(quantity)', 'uni
 FROM sales WHERE region = 'EUROPE'"""),
         "dash_category": _query(
             f"SELECT category, {_money('sum(net_amount)', 'net_revenue')} FROM sales GROUP BY category"),
+        "dash_category_city": _query(f"""
+SELECT category, {_money('sum(net_amount)', 'net_revenue')} FROM sales
+WHERE region = 'EUROPE' AND city = 'NATION_18' GROUP BY category"""),
+        "dash_city_type_region": _query(f"""
+SELECT city, venue_type, {_money('sum(net_amount)', 'net_revenue')} FROM sales
+WHERE region = 'ASIA' GROUP BY city, venue_type"""),
         "dash_city_type": _query(f"""
 SELECT city, venue_type, {_money('sum(net_amount)', 'net_revenue')} FROM sales GROUP BY city, venue_type"""),
         "dash_loyalty_share": _query(
@@ -369,13 +382,7 @@ shares AS (
   FROM retention GROUP BY customer_loyalty_segment
 )""",
         ),
-        "dash_revenue_trend": _query(
-            f"""
-SELECT {_text('forecast_month')}, {_money('revenue', 'realized_revenue')},
-  {_mean_cents('revenue', 'n')} AS customer_lifetime_value_increment
-FROM (SELECT forecast_month, sum(revenue) AS revenue, CAST(sum(n) AS HUGEINT) AS n FROM retention
-      GROUP BY forecast_month)""",
-            SEGMENT_HISTORY,
-            RETENTION,
-        ),
+        "dash_revenue_trend": _query(REVENUE_TREND),
+        "dash_revenue_trend_repeated": _query(REVENUE_TREND),
+        "csv_round_trip": _query(f"SELECT customer_id, {STAGED.rpartition(', loaded_at')[0]} FROM sales"),
     }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,10 @@ from pyspark.sql import types as T
 from salesmart.operators import dashboard, guests, increments, marts, quality, sales
 from salesmart.operators.derive import with_amounts, with_calendar, with_weekend_uplift
 from salesmart.operators.staging import stg_transactions
+from salesmart.schema import LOAD_COLUMNS
+from salesmart.sources import csv_sales
 from salesmart.sources.harness import sales_from_orders
+from salesmart.sources.shared import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +59,14 @@ def _retention(rows: DataFrame) -> DataFrame:
     return guests.fct_retention(_visits(rows))
 
 
+def _through_csv(rows: DataFrame) -> DataFrame:
+    """The load columns written as CSV in the shared folder and read again."""
+    spark = rows.sparkSession
+    path = f"{shared_dir(spark)}/sales-csv-{uuid4().hex}"
+    csv_sales.write_sales_csv(rows.select(*LOAD_COLUMNS), path)
+    return csv_sales.read_sales_csv(spark, path)
+
+
 # Each entry maps the sales fact to a result.
 REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "stg_transactions": stg_transactions,
@@ -80,11 +92,13 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "venue_summary_default": lambda s: sales.venue_summary(s, as_of=date(2000, 6, 30)),
     "top_items": lambda s: sales.top_items(s, venue_type="Pub", top_n=5),
     "monthly_trend": lambda s: sales.monthly_trend(s, year=1998),
+    "monthly_trend_default": lambda s: sales.monthly_trend(s, as_of=date(2000, 6, 30)),
     "monthly_trend_all_years": sales.monthly_trend_all_years,
     "fct_venue_performance": _venues,
     "visit_history": _visits,
     "visit_history_by_customer": lambda s: guests.visit_history_by_customer(s, store_input=True),
     "fct_retention": _retention,
+    "fct_retention_by_customer": lambda s: guests.fct_retention(guests.visit_history_by_customer(s, store_input=True)),
     "venue_breakdown": lambda s: sales.value_counts(s, "venue_name"),
     "category_breakdown": lambda s: sales.value_counts(s, "category"),
     "total_revenue": sales.total_revenue,
@@ -96,9 +110,13 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "source_tests": lambda s: quality.source_tests(flawed(s)),
     "dash_kpis": lambda s: dashboard.dash_kpis(_venues(s), region="EUROPE"),
     "dash_category": lambda s: dashboard.dash_category(_venues(s)),
+    "dash_category_city": lambda s: dashboard.dash_category(_venues(s), region="EUROPE", city="NATION_18"),
     "dash_city_type": lambda s: dashboard.dash_city_type(_venues(s)),
+    "dash_city_type_region": lambda s: dashboard.dash_city_type(_venues(s), region="ASIA"),
     "dash_loyalty_share": lambda s: dashboard.dash_loyalty_share(_retention(s)),
-    "dash_revenue_trend": lambda s: dashboard.dash_revenue_trend(_retention(s)),
+    "dash_revenue_trend": lambda s: dashboard.dash_revenue_trend(stg_transactions(s)),
+    "dash_revenue_trend_repeated": lambda s: dashboard.dash_revenue_trend(stg_transactions(short_ids(s))),
+    "csv_round_trip": _through_csv,
 }
 
 

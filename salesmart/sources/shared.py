@@ -3,34 +3,58 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by the session, or a scratch folder for a local master."""
+    """Folder named by the session, or a scratch folder for a master whose
+    executors are threads of the driver."""
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="salesmart-"))
     return spark.sparkContext.getCheckpointDir()
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """What is stored inside lasts until the end of the block.
+
+    It goes to one folder, which is deleted at the end, also after an error.
+    DataFrames that read it must have been used by then.
+    """
+    folder = f"{shared_dir(spark)}/scratch-{uuid4().hex}"
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
     What depends on it is not computed again when executors are lost, later
     readers scan only the columns they need, and its size is known to the
-    planner.
+    planner.  It stays until the ``scratch`` block around the call ends; without
+    one, until the folder of the session is cleaned.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid4().hex}"
+    path = f"{_scratch.get() or shared_dir(spark)}/{name}-{uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
