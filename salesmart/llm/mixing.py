@@ -1,5 +1,11 @@
 """Sources mixed to target weights by repeating and drawing documents.
 
+A document is taken as often as the whole part of its source's rate says, and once
+more with a probability equal to the rest.  The draw is a hash of the document's
+id, held against the point below which the draws hold that share of the source's
+words.  Held against the bare share instead, a few long documents would carry a
+source far from its target.
+
 Everything here is DataFrame expressions.  Sizes are summed by source before the
 shuffle; the table of sources is stored, so that the planner knows its size when
 it joins it to the documents: as a broadcast below its threshold, else shuffled,
@@ -22,8 +28,8 @@ SEED = 42
 NUMBERING_TASKS = 16
 
 _WORDS = r"[^\x20\x09-\x0D]+"
-#: A draw has so many hexadecimal digits.
-_DIGITS = 13
+#: A draw is one of so many equal steps, and has so many hexadecimal digits.
+STEPS, _DIGITS = 4096, 3
 
 
 def size_of(text: str = "text") -> Column:
@@ -32,11 +38,10 @@ def size_of(text: str = "text") -> Column:
 
 
 def draw(doc_id: str = "doc_id", text: str = "text", seed: int = SEED) -> Column:
-    """A number from 0 to below 1 that depends on the id alone, or on the text
+    """A step from 0 to below ``STEPS`` that depends on the id alone, or on the text
     where the id is null."""
     key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(doc_id).cast("string"), F.col(text), F.lit("")))
-    digits = F.conv(F.substring(F.md5(key), 1, _DIGITS), 16, 10).cast("long")
-    return digits / F.lit(16**_DIGITS)
+    return F.conv(F.substring(F.md5(key), 1, _DIGITS), 16, 10).cast("int")
 
 
 def numbered(sources: DataFrame, tasks: int = NUMBERING_TASKS) -> DataFrame:
@@ -58,15 +63,18 @@ def numbered(sources: DataFrame, tasks: int = NUMBERING_TASKS) -> DataFrame:
     )
 
 
-def source_targets(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """source, source_size and target, one row per source.
+def source_targets(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = SEED) -> DataFrame:
+    """source, source_size, target, ``whole`` (copies that each of its documents has)
+    and ``cut`` (documents drawn below it have one more), one row per source.
 
     Targets share the size of all documents by weight.  One that would exceed
     ``most`` times its source stops there, and what it leaves is shared by weight
     among the rest, until none exceeds.  Each round is one aggregate of the
     sources to a single row; there are as many rounds as targets stop in turn.
     """
-    sizes = docs.select("source", size_of().alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
+    drawn = docs.select("source", draw(seed=seed).alias("step"), size_of().alias("size"))
+    steps = store(drawn.groupBy("source", "step").agg(F.sum("size").alias("size")), "mix-steps")
+    sizes = steps.groupBy("source").agg(F.sum("size").alias("source_size"))
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int"))
     sources = store(numbered(sizes).select("source", "source_size", weight.cast("long").alias("weight")), "mix-sources")
     limit = F.col("source_size") * most
@@ -85,23 +93,39 @@ def source_targets(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: in
         share, shared_by, stopped = whole - row["held"], row["weights"], row["n"]
     free = F.col("weight") * share / F.lit(shared_by)
     target = F.least(free, limit.cast("double"))
-    return store(sources.select("source", "source_size", target.alias("target")), "mix-targets")
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    targets = sources.select("source", "source_size", target.alias("target")).withColumn("whole", F.floor(rate))
+    targets = store(targets.withColumn("more", (rate - F.floor(rate)) * F.col("source_size")), "mix-rates")
+    cut = _cuts(steps, targets.select(F.col("source").alias("_source"), "more"))
+    joined = targets.join(cut, F.col("source").eqNullSafe(F.col("_source")), "left")
+    cut = F.coalesce(F.col("cut"), F.lit(0))
+    return store(joined.select("source", "source_size", "target", "whole", cut.alias("cut")), "mix-targets")
+
+
+def _cuts(steps: DataFrame, more: DataFrame) -> DataFrame:
+    """The cut of each source below which its documents' words are nearest to
+    ``more``; the lower of two.  A source has at most ``STEPS`` rows here."""
+    upto = F.expr("sum(size) OVER (PARTITION BY source ORDER BY step)")
+    summed = steps.withColumn("upto", upto).join(more, F.col("source").eqNullSafe(F.col("_source")))
+    best = F.min(F.struct(F.abs(F.col("upto") - F.col("more")).alias("off"), (F.col("step") + 1).alias("cut"))).alias("best")
+    found = summed.groupBy("_source", "more").agg(best)
+    return found.select("_source", F.when(F.col("best.off") < F.col("more"), F.col("best.cut")).otherwise(0).alias("cut"))
 
 
 def mix(docs: DataFrame, targets: DataFrame, seed: int = SEED) -> DataFrame:
-    """``docs`` with size, source_size, target and ``copies``: the whole part of
-    target / source_size, and one more if the document's draw is below the rest.
+    """``docs`` with size, source_size, target and ``copies``, by ``targets`` made with
+    the same seed.
 
-    The draw belongs to the document, so reruns and lost executors decide alike.
-    A source without words has target 0 and its documents no copies.  Null is a
-    source like any other.  Columns of these names in ``docs`` are replaced.
+    The draw belongs to the document, so reruns and lost executors decide alike,
+    and repeated rows of a document too.  A source without words has target 0 and
+    its documents no copies.  Null is a source like any other.  Columns of these
+    names in ``docs`` are replaced.
     """
-    made = ("size", "source_size", "target", "copies")
+    made = ("size", "source_size", "target", "copies", "whole", "cut")
     own = docs.drop(*made).withColumn("size", size_of())
     joined = own.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")), "left")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    extra = F.when(draw(seed=seed) < rate - F.floor(rate), 1).otherwise(0)
-    return joined.drop("_source").withColumn("copies", (F.floor(rate) + extra).cast("long"))
+    extra = F.when(draw(seed=seed) < F.col("cut"), 1).otherwise(0)
+    return joined.withColumn("copies", (F.col("whole") + extra).cast("long")).drop("_source", "whole", "cut")
 
 
 def emit(mixed: DataFrame) -> DataFrame:

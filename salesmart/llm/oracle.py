@@ -76,7 +76,7 @@ def mix_sql(docs: str = "documents") -> str:
     return f"""
     WITH d AS (
       SELECT *, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
-        ('0x' || substr(md5(concat_ws(':', '{SEED}', coalesce(doc_id::VARCHAR, text, ''))), 1, 13))::BIGINT / {16**13}::DOUBLE AS u
+        ('0x' || substr(md5(concat_ws(':', '{SEED}', coalesce(doc_id::VARCHAR, text, ''))), 1, 3))::INTEGER AS step
       FROM {docs}),
     s AS (
       SELECT source, source_size, {weights}[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1] AS w
@@ -87,9 +87,14 @@ def mix_sql(docs: str = "documents") -> str:
         sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS shared_by FROM o),
     f AS (SELECT share::BIGINT AS share, shared_by::BIGINT AS shared_by FROM c WHERE w * share <= {MOST} * source_size * shared_by ORDER BY k LIMIT 1),
     t AS (SELECT source, source_size, least(w::BIGINT * share / shared_by::DOUBLE, ({MOST} * source_size)::DOUBLE) AS target FROM s, f),
-    r AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-    SELECT *, (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies FROM r"""
+    r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM t),
+    m AS (SELECT *, floor(rate)::BIGINT AS whole, (rate - floor(rate)) * source_size AS more FROM r),
+    h AS (SELECT source, step, sum(sum(size)) OVER (PARTITION BY source ORDER BY step) AS upto FROM d GROUP BY source, step),
+    e AS (SELECT m.source, more, arg_min(step + 1, (abs(upto - more), step)) AS cut, min(abs(upto - more)) AS off
+      FROM h JOIN m ON h.source IS NOT DISTINCT FROM m.source GROUP BY m.source, more),
+    k AS (SELECT m.*, CASE WHEN off < e.more THEN cut ELSE 0 END AS cut FROM m JOIN e ON m.source IS NOT DISTINCT FROM e.source)
+    SELECT d.*, source_size, target, whole + CASE WHEN step < cut THEN 1 ELSE 0 END AS copies
+    FROM d JOIN k ON d.source IS NOT DISTINCT FROM k.source"""
 
 
 ORACLE: dict[str, str] = {
