@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-#: Code points in which a text is taken at once by the vectorised operators.
-#: Cuts fall on rows, so a longer text is a slice of its own.
-SLICE_CHARS = 4_000_000
+#: Bytes of texts that are taken at once.  Cuts fall on rows, so a longer text is a
+#: slice of its own.
+SLICE_BYTES = 1_000_000
 
 
 def schema_of(ddl: str) -> T.StructType:
@@ -19,11 +19,11 @@ def schema_of(ddl: str) -> T.StructType:
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of about ``SLICE_CHARS`` bytes, so that a batch of long
+    """Consecutive rows of about ``SLICE_BYTES``, so that a batch of long
     texts is not unpacked at once."""
     if batch.num_rows == 0:
         return
-    rows = max(1, int(batch.num_rows * SLICE_CHARS / max(batch.nbytes, 1)))
+    rows = max(1, int(batch.num_rows * SLICE_BYTES / max(batch.nbytes, 1)))
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
 

@@ -18,9 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.batches import SLICE_CHARS, append_columns, schema_of, slices
+from salesmart.llm.batches import SLICE_BYTES, append_columns, schema_of, slices
 
 BUCKETS = 1 << 16
+#: Code points of the texts whose paths are found together.
+PATH_CHARS = 8_000_000
 #: Logarithmic cost of a switch between two words.
 SWITCH = 8.0
 #: Counts that every trigram has besides its own.
@@ -95,21 +97,20 @@ def words_of(texts: list[str | None]) -> Words:
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1] + 1]))
     last = np.concatenate([first[1:], [len(at)]]) - 1
     text = np.searchsorted(offsets, at[first], "right") - 1
-    return Words(at[first] - offsets[text], at[last] + 1 - offsets[text], text, script[at[first]], mixed >> np.uint32(16), first)
+    start, end = at[first] - offsets[text], at[last] + 1 - offsets[text]
+    return Words(start.astype(np.int32), end.astype(np.int32), text.astype(np.int32), script[at[first]], (mixed >> np.uint32(16)).astype(np.uint16), first)
 
 
-def _pieces(texts: list[str | None]) -> Iterator[tuple[int, list[str | None]]]:
-    """Runs of texts of a quarter of ``SLICE_CHARS`` together, as each letter takes
-    many bytes while it is scored; a longer text is alone."""
-    held, size, first = [], 0, 0
-    for i, text in enumerate(texts):
-        if held and size + len(text or "") > SLICE_CHARS // 4:
-            yield first, held
-            held, size, first = [], 0, i
-        held.append(text)
-        size += len(text or "")
-    if held:
-        yield first, held
+def _runs(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs with sums up to ``most``; what is larger is alone."""
+    first, total = 0, 0
+    for i, n in enumerate(sizes):
+        if i > first and total + n > most:
+            yield first, i
+            first, total = i, 0
+        total += n
+    if sizes:
+        yield first, len(sizes)
 
 
 @dataclass
@@ -170,7 +171,7 @@ def best_path(scores: np.ndarray, text: np.ndarray, penalty: float = SWITCH) ->
     """The language of each word: the path of the highest sum for each text, less
     the penalty for each switch.  Texts are taken word by word side by side."""
     n, langs = scores.shape
-    out = np.zeros(n, np.int64)
+    out = np.zeros(n, np.uint16)
     if not n or langs < 2:
         return out
     first = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
@@ -219,23 +220,31 @@ def _task(shared, spans: bool):
     def columns(texts):
         out = [UNKNOWN] * len(texts), [0.0] * len(texts), [[] for _ in texts]
         if model.langs:
-            parts = []
-            for at, part in _pieces(texts):
-                words = words_of(part)
-                parts.append((words.start, words.end, words.text + at, model.scores(words)))
-            start, end, text, scores = (np.concatenate(c) for c in zip(*parts, strict=True))
-            label = best_path(scores, text)
-            letters = np.zeros((len(texts), len(model.langs)))
-            np.add.at(letters, (text, label), end - start)
-            whole = letters.sum(axis=1)
-            for i in np.flatnonzero(whole).tolist():
-                top = int(letters[i].argmax())
-                out[0][i], out[1][i] = model.langs[top], float(letters[i, top] / whole[i])
-            if spans and len(text):
-                edge = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (label[1:] != label[:-1])]))
-                last = np.concatenate([edge[1:], [len(text)]]) - 1
-                for a, b in zip(edge.tolist(), last.tolist(), strict=True):
-                    out[2][text[a]].append({"start": int(start[a]), "end": int(end[b]), "lang": model.langs[label[a]]})
+            for a, b in _runs([len(t or "") for t in texts], PATH_CHARS):
+                _label(model, texts[a:b], a, out, spans)
         return list(out) if spans else list(out[:2])
 
     return columns
+
+
+def _label(model: Model, texts: list[str | None], at: int, out: tuple, spans: bool) -> None:
+    """The results of ``texts`` put in ``out`` from ``at`` on.  Letters are scored in
+    slices, as each takes many bytes for a moment; the paths of all are found
+    together."""
+    parts = []
+    for a, b in _runs([len(t or "") for t in texts], SLICE_BYTES):
+        words = words_of(texts[a:b])
+        parts.append((words.start, words.end, words.text + a, model.scores(words)))
+    start, end, text, scores = (np.concatenate(c) for c in zip(*parts, strict=True))
+    label = best_path(scores, text)
+    letters = np.zeros((len(texts), len(model.langs)))
+    np.add.at(letters, (text, label), end - start)
+    whole = letters.sum(axis=1)
+    for i in np.flatnonzero(whole).tolist():
+        top = int(letters[i].argmax())
+        out[0][at + i], out[1][at + i] = model.langs[top], float(letters[i, top] / whole[i])
+    if spans and len(text):
+        edge = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (label[1:] != label[:-1])]))
+        last = np.concatenate([edge[1:], [len(text)]]) - 1
+        for a, b in zip(edge.tolist(), last.tolist(), strict=True):
+            out[2][at + text[a]].append({"start": int(start[a]), "end": int(end[b]), "lang": model.langs[label[a]]})
