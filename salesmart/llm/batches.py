@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -18,6 +21,34 @@ def schema_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
+#: Applications whose executors have this package.
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, once for each application, so that it need
+    not be installed there.  Spark hands the file on to every executor, late ones
+    included."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).parents[1]
+    archive = Path(tempfile.mkdtemp(prefix=f"{package.name}-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+def map_batches(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str
+) -> DataFrame:
+    """``mapInArrow`` with a function of this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of about ``SLICE_BYTES``, so that a batch of long
     texts is not unpacked at once."""
@@ -48,4 +79,4 @@ def append_columns(df: DataFrame, inputs: list[str], make: Callable[[], Callable
                 arrays += [pa.array(values, arrow.field(name).type) for values, name in zip(new, added.names, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
-    return df.select(*needed).mapInArrow(run, schema)
+    return map_batches(df.select(*needed), run, schema)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.batches import SLICE_BYTES, append_columns, schema_of, slices
+from salesmart.llm.batches import SLICE_BYTES, append_columns, map_batches, schema_of, slices
 
 BUCKETS = 1 << 16
 #: Code points of the texts whose paths are found together.
@@ -154,7 +154,7 @@ def train(docs: DataFrame) -> Model:
                 names=schema.names,
             )
 
-    counted = docs.where("lang IS NOT NULL").select("text", "lang").mapInArrow(count, schema)
+    counted = map_batches(docs.where("lang IS NOT NULL").select("text", "lang"), count, schema)
     rows = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(rows["lang"].to_pylist()))
     counts = np.zeros((len(langs), width))

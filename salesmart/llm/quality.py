@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from salesmart.llm.batches import append_columns, schema_of, slices
+from salesmart.llm.batches import append_columns, map_batches, schema_of, slices
 
 #: Words of a passage.
 PASSAGE = 64
@@ -126,7 +126,7 @@ def train(sample: DataFrame) -> Model | None:
                 packed = [describe(t).astype(np.float32).tobytes() for t in texts]
                 yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), pa.array(labels, pa.int32())], names=["figures", "quality"])
 
-    rows = sample.mapInArrow(figures, schema_of("figures binary, quality int")).collect()
+    rows = map_batches(sample, figures, schema_of("figures binary, quality int")).collect()
     # The order of rows depends on the cluster; the fit must not.
     rows = sorted((bytes(r["figures"]), r["quality"]) for r in rows)
     if not rows:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.batches import append_columns, schema_of
+from salesmart.llm.batches import append_columns, map_batches, schema_of
 from salesmart.llm.components import connected
 from salesmart.sources.shared import store
 
@@ -193,7 +193,7 @@ def links(codes: DataFrame, radius: int = RADIUS, piece: int = PIECE) -> DataFra
         close()
         yield _pairs(out)
 
-    return dealt.repartition(*keys).sortWithinPartitions(*keys, "fp").mapInArrow(search, schema)
+    return map_batches(dealt.repartition(*keys).sortWithinPartitions(*keys, "fp"), search, schema)
 
 
 def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:

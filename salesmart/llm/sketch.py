@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.batches import schema_of, slices
+from salesmart.llm.batches import map_batches, schema_of, slices
 
 SHINGLE = 5
 #: The fraction kept is one over this.
@@ -171,7 +171,7 @@ def fingerprint_with_next(docs: DataFrame, ranges: int | None = None, shingle: i
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], names=schema.names)
 
     order = ["range", "tail", "doc_id", "text"]
-    return dealt.repartition("range").sortWithinPartitions(*order).mapInArrow(pair, schema)
+    return map_batches(dealt.repartition("range").sortWithinPartitions(*order), pair, schema)
 
 
 _TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]

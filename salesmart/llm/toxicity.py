@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.batches import append_columns, schema_of, slices
+from salesmart.llm.batches import append_columns, map_batches, schema_of, slices
 
 #: Letters a to z, and 0 for what ends a word.
 LETTERS = 27
@@ -92,7 +92,7 @@ def train_letters(docs: DataFrame) -> np.ndarray:
         kept = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int32()), pa.array(total[kept], pa.int64())], names=schema.names)
 
-    rows = docs.select("text").mapInArrow(count, schema).groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    rows = map_batches(docs.select("text"), count, schema).groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(LETTERS ** (CONTEXT + 1))
     counts[rows["gram"].to_numpy()] = rows["n"].to_numpy()
     return log_probabilities(counts)
@@ -277,7 +277,7 @@ def train_words(sample: DataFrame, shared_letters) -> Model:
     n, share = base["n"], (base["toxic"] or 0) / max(base["n"], 1)
     if not n or share in (0, 1):
         return Model({}, -np.inf if share == 0 else np.inf)
-    counted = sample.mapInArrow(count, schema_of("word string, n long, toxic long"))
+    counted = map_batches(sample, count, schema_of("word string, n long, toxic long"))
     counted = counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).where(F.col("n") >= OFTEN)
     apart = F.abs(F.col("toxic") / F.col("n") - share) / F.sqrt(F.lit(share * (1 - share)) / F.col("n"))
     chosen = counted.withColumn("apart", apart).where(F.col("apart") > APART).orderBy(F.desc("apart"), "word").limit(FEATURES)
@@ -292,7 +292,7 @@ def train_words(sample: DataFrame, shared_letters) -> Model:
                 rows = [sorted(number[w] for w in number.keys() & features(restorer.words(t))) for t in texts]
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array(toxic, pa.int32())], names=["words", "toxic"])
 
-    rows = sorted((tuple(r["words"]), r["toxic"]) for r in sample.mapInArrow(present, schema_of("words array<int>, toxic int")).collect())
+    rows = sorted((tuple(r["words"]), r["toxic"]) for r in map_batches(sample, present, schema_of("words array<int>, toxic int")).collect())
     weights, bias = fit([r[0] for r in rows], np.array([r[1] for r in rows]), len(telling))
     return Model(dict(zip(telling, weights.tolist(), strict=True)), bias)
 

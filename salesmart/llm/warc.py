@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm.batches import schema_of, slices
+from salesmart.llm.batches import map_batches, schema_of, slices
 from salesmart.sources.shared import shared_dir, store
 
 #: Smaller payloads are never replaced by a reference.
@@ -118,7 +118,7 @@ def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYT
             yield _blob(held)
 
     rows = with_references(pages).select("page_id", "url", "html", "payload_digest", "first")
-    archives = rows.mapInArrow(pack, "value binary").select(F.col("value").cast("string").alias("value"))
+    archives = map_batches(rows, pack, "value binary").select(F.col("value").cast("string").alias("value"))
     archives.write.option("maxRecordsPerFile", 1).option("lineSep", "\0").text(path)
 
 
@@ -251,7 +251,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                 yield _batch(rows, kinds, schema.names)
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(parse, schema)
+    return map_batches(files, parse, schema)
 
 
 def _batch(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:

@@ -43,7 +43,7 @@ def test_language_keeps_documents_in_one_language(spark, steps):
     label = langid.best_path(known.scores(script), script.text)
     letters = np.zeros((len(steps[0]), len(known.langs)))
     np.add.at(letters, (script.text, label), script.end - script.start)
-    want = [r["doc_id"] for r, n in zip(steps[0], letters, strict=True) if n.sum() and n.max() >= 0.5 * n.sum()]
+    want = [r["doc_id"] for r, n in zip(steps[0], letters, strict=True) if n.sum() and n.max() >= corpus_pipeline.LEAST_SHARE * n.sum()]
     assert ids(steps[1]) == sorted(want)
 
 
