@@ -30,6 +30,7 @@ def visit_history(
         key_name="customer_surrogate_id",
         previous="previous_transaction_ts",
         bands=SEGMENT_BANDS,
+        few_keys=True,
         store_input=store_input,
         rows_per_task=rows_per_task,
     )
@@ -45,6 +46,7 @@ def visit_history_by_customer(
         key_name="customer_id",
         previous="previous_visit_ts",
         bands=CUSTOMER_BANDS,
+        few_keys=False,
         store_input=store_input,
         rows_per_task=rows_per_task,
     )
@@ -57,6 +59,7 @@ def _history(
     key_name: str,
     previous: str,
     bands: LoyaltyBands,
+    few_keys: bool,
     store_input: bool,
     rows_per_task: int,
 ) -> DataFrame:
@@ -72,6 +75,7 @@ def _history(
         ties=["transaction_id"],
         number="customer_visit_number",
         previous=previous,
+        few_keys=few_keys,
         rows_per_task=rows_per_task,
     )
     return numbered.withColumn(

@@ -34,37 +34,44 @@ def visit_numbers(
     ties: list[str],
     number: str,
     previous: str,
+    few_keys: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add each row's position within ``key`` by time and the ``ts`` before it.
 
     Rows equal in ``ts`` are ordered by ``ties``, then by the other columns, so
-    only exact copies are interchangeable.
+    only exact copies are interchangeable.  ``few_keys``: rows are counted by key
+    and piece at once, which saves a reading where keys are few and large.
     """
     order = [ts, *ties, *[c for c in rows.columns if c not in (key, ts, *ties)]]
+    # Never NULL, so that equal keys meet in ordinary equi-joins below.
+    name = F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit(""))
+    minute = F.unix_date(F.to_date(ts)) * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    piece = F.coalesce(F.floor(minute / PIECE_MINUTES).cast("int"), F.lit(-(10**9)))
+    counted = [F.count("*").alias("__rows"), F.max(ts).alias("__last")]
+    group = ["__group", "__piece"]
 
-    large_keys = rows.groupBy(key).count().filter(F.col("count") > rows_per_task)
-    large_keys, n_large = store_counted(large_keys, "large-keys")
+    if few_keys:
+        sizes = store(rows.groupBy(name.alias("__group"), piece.alias("__piece")).agg(*counted), "all-pieces")
+        keys = sizes.groupBy("__group").agg(F.sum("__rows").alias("__rows"))
+    else:
+        keys = rows.groupBy(name.alias("__group")).agg(F.count("*").alias("__rows"))
+    large_keys, n_large = store_counted(keys.filter(F.col("__rows") > rows_per_task), "large-keys")
     if not n_large:
         return _numbered(rows, [key], order, ts, number, previous)
 
-    large_keys = large_keys.select(F.col(key).alias("__large"), F.lit(True).alias("__is_large"))
-    minute = F.unix_date(F.to_date(ts)) * 1440 + F.hour(ts) * 60 + F.minute(ts)
-    piece = F.floor(minute / PIECE_MINUTES).cast("int")
+    large_keys = _small(large_keys.select("__group", F.lit(True).alias("__is_large")), n_large)
     pieces = (
-        rows.join(_small(large_keys, n_large), F.col(key).eqNullSafe(F.col("__large")), "left")
-        # Never NULL, so that equal keys meet in ordinary equi-joins below.
-        .withColumn("__group", F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit("")))
-        .withColumn("__piece", F.when(F.col("__is_large"), F.coalesce(piece, F.lit(-(10**9)))).otherwise(0))
+        rows.withColumn("__group", name)
+        .join(large_keys, "__group", "left")
+        .withColumn("__piece", F.when(F.col("__is_large"), piece).otherwise(0))
     )
-    group = ["__group", "__piece"]
-
     # One row per large key and piece: as long as the calendar, not the data.
-    sizes = store(
-        pieces.filter("__is_large").groupBy(*group).agg(F.count("*").alias("__rows"), F.max(ts).alias("__last")),
-        "pieces",
-    )
-    pieces = pieces.drop("__large", "__is_large")
+    if few_keys:
+        sizes = sizes.join(large_keys, "__group", "left_semi")
+    else:
+        sizes = store(pieces.filter("__is_large").groupBy(*group).agg(*counted), "pieces")
+    pieces = pieces.drop("__is_large")
     earlier = Window.partitionBy("__group").orderBy("__piece")
     offsets = sizes.select(
         *group,

@@ -34,9 +34,9 @@ def with_one_window(rows):
     )
 
 
-def numbered(rows, limit):
+def numbered(rows, limit, few_keys=False):
     return visit_numbers(
-        rows, key="k", ts="ts", ties=["id"], number="n", previous="before", rows_per_task=limit
+        rows, key="k", ts="ts", ties=["id"], number="n", previous="before", few_keys=few_keys, rows_per_task=limit
     ).select(*COLUMNS, "n", "before")
 
 
@@ -61,6 +61,7 @@ def test_hot_key_hot_piece_and_copies(spark, limit):
     rows += [("", START, "d", 1), ("single", START, "e", 1)]
     df = visits(spark, rows).repartition(5)
     same(numbered(df, limit), with_one_window(df))
+    same(numbered(df, limit, few_keys=True), with_one_window(df))
 
 
 def test_copies_are_restored_in_steps(spark, monkeypatch):
