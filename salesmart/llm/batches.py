@@ -49,21 +49,21 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of about ``SLICE_BYTES``, so that a batch of long
+def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of about ``most`` bytes, so that a batch of long
     texts is not unpacked at once."""
     if batch.num_rows == 0:
         return
-    rows = max(1, int(batch.num_rows * SLICE_BYTES / max(batch.nbytes, 1)))
+    rows = max(1, int(batch.num_rows * most / max(batch.nbytes, 1)))
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
 
 
-def append_columns(df: DataFrame, inputs: list[str], make: Callable[[], Callable[..., list[list]]], ddl: str, whole: bool = False) -> DataFrame:
+def append_columns(df: DataFrame, inputs: list[str], make: Callable[[], Callable[..., list[list]]], ddl: str, most: int = SLICE_BYTES) -> DataFrame:
     """``df`` and new columns.  ``make()`` once per partition; what it returns
     takes the ``inputs`` as lists and returns one list per new column.  The new
     columns replace those of the same name; what the row holds besides is
-    passed on untouched.  ``whole``: batches as they come, not in slices."""
+    passed on untouched.  ``most``: bytes of a slice."""
     added = schema_of(ddl)
     rest = [c for c in df.columns if c not in added.names]
     schema = T.StructType([df.schema[c] for c in rest] + added.fields)
@@ -73,7 +73,7 @@ def append_columns(df: DataFrame, inputs: list[str], make: Callable[[], Callable
         arrow = to_arrow_schema(schema)
         columns_of = make()
         for batch in batches:
-            for part in [batch] if whole else slices(batch):
+            for part in slices(batch, most):
                 new = columns_of(*(part.column(c).to_pylist() for c in inputs))
                 arrays = [part.column(c).cast(arrow.field(c).type) for c in rest]
                 arrays += [pa.array(values, arrow.field(name).type) for values, name in zip(new, added.names, strict=True)]

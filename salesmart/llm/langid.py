@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from salesmart.llm.batches import SLICE_BYTES, append_columns, map_batches, schema_of, slices
 
 BUCKETS = 1 << 16
-#: Code points of the texts whose paths are found together.
-PATH_CHARS = 8_000_000
+#: Bytes of the texts whose paths are found together.
+PATH_BYTES = 8_000_000
 #: Logarithmic cost of a switch between two words.
 SWITCH = 8.0
 #: Counts that every trigram has besides its own.
@@ -211,7 +211,7 @@ def identify(docs: DataFrame, model: Model, spans: bool = True) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets times languages
     ddl = SPANS if spans else SPANS.rpartition(", spans")[0]
-    return append_columns(docs, ["text"], functools.partial(_task, shared, spans), ddl, whole=True)
+    return append_columns(docs, ["text"], functools.partial(_task, shared, spans), ddl, most=PATH_BYTES)
 
 
 def _task(shared, spans: bool):
@@ -220,15 +220,14 @@ def _task(shared, spans: bool):
     def columns(texts):
         out = [UNKNOWN] * len(texts), [0.0] * len(texts), [[] for _ in texts]
         if model.langs:
-            for a, b in _runs([len(t or "") for t in texts], PATH_CHARS):
-                _label(model, texts[a:b], a, out, spans)
+            _label(model, texts, out, spans)
         return list(out) if spans else list(out[:2])
 
     return columns
 
 
-def _label(model: Model, texts: list[str | None], at: int, out: tuple, spans: bool) -> None:
-    """The results of ``texts`` put in ``out`` from ``at`` on.  Letters are scored in
+def _label(model: Model, texts: list[str | None], out: tuple, spans: bool) -> None:
+    """The results of ``texts`` put in ``out``.  Letters are scored in
     slices, as each takes many bytes for a moment; the paths of all are found
     together."""
     parts = []
@@ -242,9 +241,9 @@ def _label(model: Model, texts: list[str | None], at: int, out: tuple, spans: bo
     whole = letters.sum(axis=1)
     for i in np.flatnonzero(whole).tolist():
         top = int(letters[i].argmax())
-        out[0][at + i], out[1][at + i] = model.langs[top], float(letters[i, top] / whole[i])
+        out[0][i], out[1][i] = model.langs[top], float(letters[i, top] / whole[i])
     if spans and len(text):
         edge = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (label[1:] != label[:-1])]))
         last = np.concatenate([edge[1:], [len(text)]]) - 1
         for a, b in zip(edge.tolist(), last.tolist(), strict=True):
-            out[2][at + text[a]].append({"start": int(start[a]), "end": int(end[b]), "lang": model.langs[label[a]]})
+            out[2][text[a]].append({"start": int(start[a]), "end": int(end[b]), "lang": model.langs[label[a]]})

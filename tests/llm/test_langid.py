@@ -52,7 +52,6 @@ def test_slices_and_batches_do_not_matter(spark, make_docs, monkeypatch):
     want = langid.identify(docs, known).orderBy("doc_id").collect()
     texts = [r["text"] for r in docs.orderBy("doc_id").collect()]
     monkeypatch.setattr(langid, "SLICE_BYTES", 100)
-    monkeypatch.setattr(langid, "PATH_CHARS", 1000)
     labels = langid._task(type("Shared", (), {"value": known}), True)(texts)
     assert labels[0] == [r["lang_pred"] for r in want]
     assert [[s["end"] for s in spans] for spans in labels[2]] == [[s["end"] for s in r["spans"]] for r in want]
