@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.batches import append_columns, map_batches, schema_of, slices
+from salesmart.sources.shared import store
 
 #: Letters a to z, and 0 for what ends a word.
 LETTERS = 27
@@ -315,7 +316,9 @@ def fit(rows: list[tuple[int, ...]], labels: np.ndarray, width: int, steps: int
 
 def train(corpus: DataFrame, sample: DataFrame) -> tuple:
     """Letters counted over all of ``corpus`` (text) and a word model of ``sample``
-    (text, toxic), as a broadcast and a model."""
+    (text, toxic), as a broadcast and a model.  The sample is bounded and read three
+    times, so it is stored."""
+    sample = store(sample, "toxicity-sample")
     shared = corpus.sparkSession.sparkContext.broadcast(train_letters(corpus))  # 27 ** 4 numbers
     return shared, train_words(sample, shared)
 
