@@ -27,7 +27,8 @@ PATH_BYTES = 8_000_000
 SWITCH = 8.0
 #: Counts that every trigram has besides its own.
 PRIOR = 0.05
-#: A language belongs to a script if so much of the script's letters is in it.
+#: A language belongs to a script if so much of its own letters is in it, however
+#: rare the language is among all.
 SHARE = 0.001
 UNKNOWN = "und"
 
@@ -162,7 +163,7 @@ def train(docs: DataFrame) -> Model:
     counts[[number[x] for x in rows["lang"].to_pylist()], rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     trigrams, scripts = counts[:, :BUCKETS], counts[:, BUCKETS:]
     weights = np.log((trigrams + PRIOR) / (trigrams.sum(axis=1, keepdims=True) + PRIOR * BUCKETS))
-    allowed = scripts.T > SHARE * scripts.sum(axis=0)[:, None]
+    allowed = (scripts >= SHARE * scripts.sum(axis=1, keepdims=True)).T
     allowed[~allowed.any(axis=1)] = True
     return Model(langs, weights.astype(np.float32), np.where(allowed, 0, 1e4).astype(np.float32))
 

@@ -45,6 +45,18 @@ def test_spans_of_a_mixed_text(make_docs):
     assert 0.3 < row["score"] < 0.6
 
 
+def test_one_document_in_ten_thousand_is_known(spark, make_docs):
+    dutch = "de snelle bruine vos springt over de luie hond terwijl andere dieren vanachter het hek met belangstelling toekijken"
+    draw = random.Random(5)
+    common = spark.range(9999).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, GERMAN).otherwise(ENGLISH).alias("text"))
+    common = common.withColumn("lang", F.when(F.col("doc_id") % 3 == 0, "de").otherwise("en"))
+    known = langid.train(common.unionByName(make_docs([(9999, dutch, "nl")], "doc_id long, text string, lang string")))
+    texts = [(i, shuffled(draw, text, 30), lang, None, None) for i in range(10) for text, lang in ((dutch, "nl"), (ENGLISH, "en"), (GERMAN, "de"))]
+    rows = langid.identify(make_docs([*texts, (99, RUSSIAN + " " + dutch, "nl", None, None)]), known).collect()
+    assert [r["lang_pred"] for r in rows if r["doc_id"] < 99] == [lang for _, _, lang, _, _ in texts]
+    assert rows[-1]["spans"][-1]["lang"] == "nl"
+
+
 def test_slices_and_batches_do_not_matter(spark, make_docs, monkeypatch):
     draw = random.Random(3)
     docs = make_docs([(i, shuffled(draw, draw.choice([ENGLISH, GERMAN, RUSSIAN]), draw.randrange(50)), None, None, None) for i in range(60)])
