@@ -50,8 +50,8 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and slot of each row."""
-    placed = resharding.reshard(docs.select(*COLUMNS))
+    """The shard and slot of each row, from the files that were written anew."""
+    placed = resharding.reshard_files(docs.select(*COLUMNS)).withColumn("old_shard", resharding.hashed_shard())
     return placed.select("doc_id", "source", "size", "text_crc32", "old_shard", "shard", "slot")
 
 

@@ -68,7 +68,7 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    placed = resharding.reshard(docs)
+    placed = resharding.reshard_files(docs)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )

@@ -4,16 +4,20 @@ Rows are grouped in blocks by a hash of doc_id within their old shard; a row tha
 is large beside a shard is a block of its own.  A minimum-cost flow from the old
 shards to the new capacities says how many bytes go where; whole blocks are then
 chosen to carry it.  Sizes are summed by Spark; the driver sees blocks, of which
-there is a fixed number, and never rows.
+there is a fixed number, and never rows.  A layout is a folder of ``shard=``
+partitions; the files of affected shards are then written anew.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict, deque
+from collections import Counter, defaultdict, deque
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+
+from salesmart.sources.shared import delete, new_path
 
 #: Shards of the layout that the query starts from.
 OLD_SHARDS = 32
@@ -22,6 +26,8 @@ SHARDS = 40
 #: block of its own, so there are at most shards * BLOCKS of these as well.
 BLOCKS = 128
 ROW_BYTES = 16
+#: Bytes of the blocks of one shard that are sorted and written by one task.
+PIECE_BYTES = 128_000_000
 
 
 def size_of(text: str = "text") -> Column:
@@ -29,6 +35,10 @@ def size_of(text: str = "text") -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("long")
 
 
+def crc_of(text: str = "text") -> Column:
+    return F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+
+
 def hashed_shard(shards: int = OLD_SHARDS) -> Column:
     """A layout that depends on doc_id alone."""
     return F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")
@@ -140,6 +150,38 @@ def with_block(sized: DataFrame, total: int, shards: int, blocks: int) -> DataFr
     return sized.withColumn("block", F.when(F.col("size") * (shards * blocks) > total, alone).otherwise(shared))
 
 
+def _sized(docs: DataFrame, old: Column) -> DataFrame:
+    own = docs.withColumn("old_shard", old.cast("int")).drop("shard", "slot", "block", "piece", "before")
+    return own.withColumns({"size": size_of(), "text_crc32": crc_of()})
+
+
+def _blocks(sized: DataFrame, shards: int, blocks: int) -> tuple[DataFrame, list[Block], int]:
+    """Rows with their block, all blocks, and the bytes of all."""
+    total = sized.agg(F.sum("size")).first()[0] or 0
+    named = with_block(sized, total, shards, blocks)
+    found = named.groupBy("block", "old_shard").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).collect()
+    return named, [Block(r["block"], r["old_shard"], r["size"], r["rows"]) for r in found], total
+
+
+def _slotted(named: DataFrame, known: list[Block], to: dict[str, int]) -> DataFrame:
+    """Rows with shard and slot.  Rows are shuffled once, by pieces of shards, so
+    that what comes out can be written as it lies."""
+    rows, size, piece, placed = Counter(), Counter(), Counter(), []
+    for b in sorted(known, key=lambda b: b.name):
+        shard = to[b.name]
+        if size[shard] and size[shard] + b.size > PIECE_BYTES:
+            size[shard], piece[shard] = 0, piece[shard] + 1
+        placed.append((b.name, shard, piece[shard], rows[shard]))
+        rows[shard] += b.rows
+        size[shard] += b.size
+    # At most 2 * shards * blocks rows, as for ``known``.
+    where = F.broadcast(named.sparkSession.createDataFrame(placed, "block string, shard int, piece int, before long"))
+    pieces = max(1, len({p[1:3] for p in placed}))
+    dealt = named.join(where, "block").repartition(pieces, "shard", "piece")
+    nth = F.expr("row_number() OVER (PARTITION BY shard, piece, block ORDER BY doc_id, text_crc32, size) - 1")
+    return dealt.withColumn("slot", (F.col("before") + nth).cast("long")).drop("block", "piece", "before")
+
+
 def reshard(docs: DataFrame, shards: int = SHARDS, old_shard: Column | None = None, blocks: int = BLOCKS) -> DataFrame:
     """``docs`` with size, text_crc32, old_shard, shard and slot (gapless from 0 in
     its shard, by block and doc_id).  Capacities are equal shares of all bytes.
@@ -148,39 +190,64 @@ def reshard(docs: DataFrame, shards: int = SHARDS, old_shard: Column | None = No
     without a doc_id are rows like any other; rows that agree in doc_id share a
     block.  Columns of these names are replaced.
     """
-    spark = docs.sparkSession
-    old = hashed_shard() if old_shard is None else old_shard
-    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    sized = docs.drop("shard", "slot", "block").withColumns({"size": size_of(), "text_crc32": crc, "old_shard": old.cast("int")})
-    total = sized.agg(F.sum("size")).first()[0] or 0
-    named = with_block(sized, total, shards, blocks)
-    found = named.groupBy("block", "old_shard").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).collect()
-    known = [Block(r["block"], r["old_shard"], r["size"], r["rows"]) for r in found]
-    to = place(known, dict.fromkeys(range(shards), -(-total // shards)))
-    filled, placed = dict.fromkeys(range(shards), 0), []
-    for b in sorted(known, key=lambda b: b.name):
-        placed.append((b.name, to[b.name], filled[to[b.name]]))
-        filled[to[b.name]] += b.rows
-    # At most 2 * shards * blocks rows, as for ``found``.
-    where = F.broadcast(spark.createDataFrame(placed, "block string, shard int, before long"))
-    nth = F.expr("row_number() OVER (PARTITION BY block ORDER BY doc_id, text_crc32, size) - 1")
-    slot = (F.col("before") + nth).cast("long")
-    return named.join(where, "block").withColumn("slot", slot).drop("block", "before")
+    named, known, total = _blocks(_sized(docs, hashed_shard() if old_shard is None else old_shard), shards, blocks)
+    return _slotted(named, known, place(known, dict.fromkeys(range(shards), -(-total // shards))))
+
+
+def _moves(resharded: DataFrame) -> set[tuple[int, int]]:
+    """Old and new shard of all rows."""
+    return {(r["old_shard"], r["shard"]) for r in resharded.select("old_shard", "shard").distinct().collect()}  # one row for each pair
+
+
+def _affected(moves: set[tuple[int, int]]) -> list[int]:
+    return sorted({shard for pair in moves if pair[0] != pair[1] for shard in pair})
 
 
 def affected(resharded: DataFrame) -> list[int]:
     """Shards that give or take rows, ascending."""
-    moved = resharded.where("shard <> old_shard").select(F.explode(F.array("shard", "old_shard")).alias("shard"))
-    return sorted(r["shard"] for r in moved.distinct().collect())  # one row for each shard
+    return _affected(_moves(resharded))
+
+
+def _write(rows: DataFrame, path: str) -> None:
+    rows.drop("old_shard").sortWithinPartitions("shard", "slot").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).option("compression", "zstd").partitionBy("shard").parquet(path)
 
 
 def rewrite(resharded: DataFrame, path: str) -> list[int]:
     """The files of affected shards written anew below ``path``, a folder of
-    ``shard=`` partitions that must not be what ``resharded`` reads; files of other
-    shards stay as they are.  Each shard is sorted by slot."""
-    shards = affected(resharded)
-    rows = resharded.where(F.col("shard").isin(shards)).drop("old_shard")
-    rows.repartition("shard").sortWithinPartitions("shard", "slot").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("shard").parquet(path)
+    ``shard=`` partitions, and the files of those that have given all rows deleted;
+    files of other shards stay as they are.  Each file is sorted by slot.
+
+    ``resharded`` may read ``path``, as files are replaced when all are written, but
+    must not be used afterwards.
+    """
+    moves = _moves(resharded)
+    shards = _affected(moves)
+    if shards:
+        _write(resharded.where(F.col("shard").isin(shards)), path)
+    for shard in set(shards) - {new for _, new in moves}:
+        delete(resharded.sparkSession, f"{path}/shard={shard}")
     return shards
+
+
+def write_layout(docs: DataFrame, path: str, old_shard: Column | None = None) -> None:
+    """``docs`` with size, text_crc32 and slot as a new layout by ``old_shard``."""
+    named, known, _ = _blocks(_sized(docs, hashed_shard() if old_shard is None else old_shard), SHARDS, BLOCKS)
+    _write(_slotted(named, known, {b.name: b.old for b in known}), path)
+
+
+def read_layout(docs: DataFrame, path: str) -> DataFrame:
+    """The rows of a layout of ``docs``, with size and text_crc32 of the texts that are in its files."""
+    own = [f for f in docs.schema if f.name not in ("old_shard", "shard", "slot", "block", "piece", "before", "size", "text_crc32")]
+    schema = StructType([*own, StructField("slot", LongType()), StructField("shard", IntegerType())])
+    return docs.sparkSession.read.schema(schema).parquet(path).withColumns({"size": size_of(), "text_crc32": crc_of()})
+
+
+def reshard_files(docs: DataFrame, shards: int = SHARDS, old_shard: Column | None = None) -> DataFrame:
+    """The whole way: ``docs`` laid out by ``old_shard`` in the shared folder, placed
+    anew, affected files written anew, and what all files then hold."""
+    path = new_path(docs.sparkSession, "shards")
+    write_layout(docs, path, old_shard)
+    rewrite(reshard(read_layout(docs, path), shards, F.col("shard")), path)
+    return read_layout(docs, path)

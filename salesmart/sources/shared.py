@@ -41,8 +41,18 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _scratch.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, folder)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    """``folder`` and all in it, in whatever store it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder, or in the ``scratch`` block's, not used before."""
+    return f"{_scratch.get() or shared_dir(spark)}/{name}-{uuid4().hex}"
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
@@ -54,7 +64,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     one, until the folder of the session is cleaned.
     """
     spark = df.sparkSession
-    path = f"{_scratch.get() or shared_dir(spark)}/{name}-{uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -86,6 +86,34 @@ def test_only_affected_files_are_written_anew(make_docs, tmp_path, spark):
     assert {r["shard"]: r["count"] for r in counts} == {0: 30, 1: 30, 2: 30}
 
 
+def test_drained_shards_leave_no_files(make_docs, tmp_path, spark):
+    docs = make_docs([(i, "z" * 84, None, None, None) for i in range(90)])
+    path = str(tmp_path / "shards")
+    rs.write_layout(docs, path, F.pmod("doc_id", F.lit(5)).cast("int"))
+    old = rs.read_layout(docs, path)
+    assert sorted(check(old.collect(), 5)) == [0, 1, 2, 3, 4]
+    assert {3, 4} <= set(rs.rewrite(rs.reshard(old, 3, F.col("shard")), path))
+    assert sorted(r["doc_id"] for r in spark.read.parquet(path).collect()) == list(range(90))
+    assert set(check(rs.read_layout(docs, path).collect(), 3)) == {0, 1, 2}
+
+
+def test_results_come_from_rewritten_files(awkward, clashing, no_docs):
+    found = rs.reshard_files(awkward)
+    files = {f.rpartition("/shard=")[0] for f in found.inputFiles()}
+    assert len(files) == 1 and all(files)
+    assert len(found.collect()) == awkward.count()
+    check(found.collect(), 40)
+    assert rs.reshard_files(clashing).count() == awkward.count()
+    assert rs.reshard_files(no_docs).collect() == []
+
+
+def test_query_moves_the_texts(spark, tables, make_docs):
+    from salesmart.llm.queries import QUERIES
+
+    found = QUERIES["op6_reshard"](spark, tables(documents=make_docs([(i, "z" * i, None, None, None) for i in range(90)])))
+    assert all("/shard=" in f for f in found.inputFiles())
+
+
 def test_awkward_rows(awkward, clashing, no_docs):
     rows = rs.reshard(awkward).collect()
     assert len(rows) == awkward.count()
