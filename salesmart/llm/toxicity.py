@@ -40,14 +40,17 @@ MEANT = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t",
 }
 #: Logarithmic costs: a sign for a letter, a repeated letter dropped, a word's end
-#: among letters set apart.
-SIGN, DROPPED, SPLIT = -1.5, -0.5, -2.0
+#: among letters set apart, a blank or mark dropped between pieces of a word.
+SIGN, DROPPED, SPLIT, JOINED = -1.5, -0.5, -2.0, -0.5
 
 _SIGNS = "".join(re.escape(c) for c in MEANT)
 _LETTER = r"[^\W\d_]"
-_MIXED = re.compile(rf"{_LETTER}[{_SIGNS}]+{_LETTER}|(?<![\w{_SIGNS}])[{_SIGNS}]+{_LETTER}{{2}}|{_LETTER}{{2}}[013457]+(?!\w)")
+_HINT = re.compile(rf"({_LETTER})\1|{_LETTER}[{_SIGNS}]|[{_SIGNS}]{_LETTER}")
 _AROUND = re.compile(rf"(?:{_LETTER}|[{_SIGNS}])+")
 _APART = re.compile(rf"(?<![^\W_])(?:{_LETTER}|[{_SIGNS}])(?:([ .*_-])(?:{_LETTER}|[{_SIGNS}]))(?:\1(?:{_LETTER}|[{_SIGNS}]))+(?![^\W_])")
+_BETWEEN = rf"(?:[^\w{_SIGNS}]|_)"
+_PIECES = re.compile(rf"(?<![^\W_])(?:{_LETTER}|[{_SIGNS}]){{1,2}}(?:{_BETWEEN}{{1,3}}(?:{_LETTER}|[{_SIGNS}]){{1,2}}){{2,}}(?![^\W_])")
+_RUN = re.compile(rf"{_BETWEEN}+|(.)\1*", re.DOTALL)
 _WORD = re.compile(rf"{_LETTER}+")
 
 
@@ -115,6 +118,7 @@ class Restorer:
     def __init__(self, letters: np.ndarray) -> None:
         self.table = letters.tolist()
         self.decode = functools.lru_cache(maxsize=50_000)(self._decode)
+        self.read = functools.lru_cache(maxsize=50_000)(self._read)
 
     def _decode(self, observed: str, apart: bool) -> str:
         """The likeliest letters.  A state is the letters before; a run of one sign
@@ -168,35 +172,88 @@ class Restorer:
             letters.append(chr(code + 96) if code else " ")
         return "".join(reversed(letters)).strip()
 
-    def spans(self, low: str) -> list[tuple[int, int, str]]:
-        """(start, end, restored) of disguised spans of a text in lower case; they
-        do not overlap."""
+    def _read(self, observed: str) -> str:
+        """The likeliest reading of a span, the span as it stands among them: signs
+        are letters or themselves, runs of a letter mean one, two or all, and what is
+        between pieces is dropped or ends a word."""
+        table = self.table
+        states: dict[tuple[int, ...], tuple[float, tuple]] = {(0,) * CONTEXT: (0.0, ())}
+
+        def step(states: dict, code: int, shown: str, cost: float) -> dict:
+            out: dict = {}
+            for context, (score, path) in states.items():
+                index = 0
+                for c in context:
+                    index = index * LETTERS + c
+                # No word ends where none began.
+                value = score + cost + (table[index * LETTERS + code] if code or context[-1] else 0.0)
+                to = (*context[1:], code) if code else (0,) * CONTEXT
+                if to not in out or out[to][0] < value:
+                    out[to] = (value, (path, shown))
+            return out
+
+        plain = []
+        for m in _RUN.finditer(observed):
+            part, sign, n = m[0], m[1], len(m[0])
+            codes = [] if sign is None else [ord(c) - 96 for c in MEANT[sign]] if sign in MEANT else [int(fold(sign)[0])]
+            options = []
+            if sign is None or sign in MEANT or codes == [0]:
+                options.append(step(states, 0, part, 0.0))
+                plain.append(part)
+            else:
+                plain.append(chr(codes[0] + 96) * n)
+            if sign is None:
+                options.append({k: (v[0] + JOINED, v[1]) for k, v in states.items()})
+            for code in filter(None, codes):
+                letter, cost = chr(code + 96), SIGN if sign in MEANT else 0.0
+                once = step(states, code, letter, cost)
+                options.append({k: (v[0] + (0 if n == 1 else DROPPED if n > 2 else 2 * DROPPED), v[1]) for k, v in once.items()})
+                if n > 1:
+                    options.append(step(once, code, letter, cost))
+                if n > 2 and sign not in MEANT:
+                    every = options[-1]
+                    for _ in range(n - 2):
+                        every = step(every, code, letter, cost)
+                    options.append(every)
+            states = {}
+            for option in options:
+                for to, found in option.items():
+                    if to not in states or states[to][0] < found[0]:
+                        states[to] = found
+        _, path = max(step(states, 0, "", 0.0).values(), key=lambda found: found[0])
+        shown = []
+        while path:
+            path, letter = path
+            shown.append(letter)
+        read = "".join(reversed(shown))
+        return observed if read == "".join(plain) else read
+
+    def lattices(self, low: str) -> list[tuple[int, int, str]]:
+        """(start, end, reading) of spans of a text in lower case that may be
+        disguised; they do not overlap."""
         found = []
-        for m in _APART.finditer(low):
-            found.append((m.start(), m.end(), self.decode(low[m.start() : m.end()].replace(m[1], ""), True)))
-        rough = []
-        if any(c in low for c in MEANT):
-            rough += [m.start() for m in _MIXED.finditer(low)]
-        rough += [i for c in set(low) if c.isalpha() and c * 3 in low for i in _starts(low, c * 3)]
-        done = 0
-        for at in sorted(rough):
+        for m in _PIECES.finditer(low):
+            apart = _APART.fullmatch(m[0])
+            found.append((m.start(), m.end(), self.decode(m[0].replace(apart[1], ""), True) if apart else self.read(m[0])))
+        done, inside = 0, iter([*found, (len(low), len(low), "")])
+        a, b, _ = next(inside)
+        for hint in _HINT.finditer(low):
+            at = hint.start()
             if at < done:
                 continue
-            while at > 0 and _AROUND.fullmatch(low, at - 1, at):
+            while at > done and _AROUND.fullmatch(low, at - 1, at):
                 at -= 1
             m = _AROUND.match(low, at)
-            if m is None:
-                continue
             done = m.end()
-            observed = m[0].rstrip("@$!|+")
-            if len(observed) > 1:
-                found.append((at, at + len(observed), self.decode(observed, False)))
-        out, end = [], 0
-        for a, b, word in sorted(found):
-            if a >= end and word:
-                out.append((a, b, word))
-                end = b
-        return out
+            while b <= at and a < len(low):
+                a, b, _ = next(inside)
+            if done <= a:
+                found.append((at, done, self.read(m[0])))
+        return sorted(found)
+
+    def spans(self, low: str) -> list[tuple[int, int, str]]:
+        """(start, end, restored) of the spans that are read otherwise than they stand."""
+        return [(a, b, word) for a, b, word in self.lattices(low) if word and word != low[a:b]]
 
     def restore(self, text: str | None) -> str:
         """The text in lower case with its disguised spans restored."""
@@ -210,8 +267,15 @@ class Restorer:
         """Distinct words of the text as it stands and as it is restored."""
         low = (text or "").lower()
         words = set(_WORD.findall(low))
-        for _, _, meant in self.spans(low):
-            words.update(meant.split())
+        for a, b, meant in self.lattices(low):
+            if meant != low[a:b]:
+                words.update(_WORD.findall(meant))
+            # The likeliest reading as letters alone counts as well.
+            letters = low[a:b].rstrip("@$!|+")
+            if not letters.isalpha() and _AROUND.fullmatch(letters):
+                words.update(self.decode(letters, False).split())
+        for m in _APART.finditer(low):
+            words.update(self.decode(m[0].replace(m[1], ""), True).split())
         return words
 
 
@@ -222,13 +286,6 @@ def features(words: set[str]) -> set[str]:
     return words | {f"{b}-" for b in begins} | {f"{b}--" for b, n in begins.items() if n > 1}
 
 
-def _starts(text: str, part: str) -> Iterator[int]:
-    at = text.find(part)
-    while at >= 0:
-        yield at
-        at = text.find(part, at + len(part))
-
-
 @functools.lru_cache(maxsize=1)
 def _restorer(shared) -> Restorer:
     return Restorer(shared.value)

@@ -39,6 +39,29 @@ def test_restored(restorer, seen, meant):
     assert restorer.restore(seen) == meant
 
 
+@pytest.mark.parametrize(
+    ("seen", "meant"),
+    [
+        ("stuupid", "stupid"),
+        ("cclown", "clown"),
+        ("idio+", "idiot"),
+        ("idi0+", "idiot"),
+        ("1d10+", "idiot"),
+        ("worthle$$", "worthless"),
+        ("$tupid", "stupid"),
+        ("i  d i o t", "idiot"),
+        ("i. d. i. o. t", "idiot"),
+        ("i d-i.o t", "idiot"),
+        ("st up id", "stupid"),
+        ("an i d i o t", "an idiot"),
+        ("worthless scum!", "worthless scum!"),
+        ("анна!", "анна!"),
+    ],
+)
+def test_every_disguise_reaches_the_lattice(restorer, seen, meant):
+    assert restorer.restore(seen) == meant
+
+
 def test_decoding_is_the_best_of_all_readings(restorer):
     table = np.array(restorer.table).reshape((27,) * 4)
 
