@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from salesmart.llm import embeddings, ranked, spelling
 from salesmart.llm.decontaminate import WINDOW
 from salesmart.llm.mixing import MOST, SEED, WEIGHTS
+from salesmart.llm.queries import MISSPELT
 
 _ASSIGN = r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?)([A-Za-z0-9+/_.=-]+)"""
 
@@ -97,8 +99,76 @@ def mix_sql(docs: str = "documents") -> str:
     FROM d JOIN k ON d.source IS NOT DISTINCT FROM k.source"""
 
 
+def ranked_sql() -> str:
+    terms = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""
+    WITH d AS (SELECT doc_id, {terms} AS w FROM documents),
+    q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({terms}) AS term FROM benchmark) GROUP BY ALL),
+    s AS (SELECT count(*) FILTER (len(w) > 0) AS documents, sum(len(w))::BIGINT AS total FROM d),
+    p AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d)
+      WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+    f AS (SELECT term, floor(1000 * ln((2 * documents + 2) / (2 * df + 1)))::BIGINT AS weight
+      FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s),
+    r AS (SELECT item_id, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * documents) // total))))::BIGINT AS score
+      FROM q JOIN p USING (term) JOIN f USING (term), s GROUP BY ALL)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0)
+    WHERE rank <= {ranked.TOP}"""
+
+
+def near_embeddings_sql() -> str:
+    return f"""
+    WITH RECURSIVE v AS (
+      SELECT vec_id, label, CASE WHEN len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 THEN embedding::DOUBLE[] END AS e
+      FROM embeddings),
+    k AS (
+      SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_dot_product(a.e, a.e) > 0 AND list_dot_product(b.e, b.e) > 0
+        AND list_cosine_similarity(a.e, b.e) >= {embeddings.THRESHOLD}),
+    r AS (SELECT vec_id, vec_id AS spot FROM v UNION SELECT r.vec_id, k.b FROM r JOIN k ON k.a = r.spot)
+    SELECT v.vec_id, (SELECT count(*) FROM k WHERE k.a = v.vec_id) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+    FROM v JOIN (SELECT vec_id, min(spot) AS component_id FROM r GROUP BY vec_id) AS c USING (vec_id)"""
+
+
+def spelling_sql(every: int) -> str:
+    """Checksums by a table of 256 entries; near words share what is left of them
+    when a letter goes, at the same place if their lengths are equal."""
+    letters = "[a-zA-Z\u00C0-\u00FF]"
+    return f"""
+    WITH RECURSIVE table_of AS (
+      SELECT list(v ORDER BY i) AS entries FROM (
+        SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS v
+        FROM (SELECT unnest(range(256)) AS i))),
+    runs AS (
+      SELECT doc_id, run, count(*) AS n
+      FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '{letters}{{{spelling.LETTERS},}}')) AS run FROM documents)
+      GROUP BY ALL),
+    hashed AS (
+      SELECT run, n, xor(4294967295, list_reduce([('0x' || h[2 * i + 1:2 * i + 2])::BIGINT for i in range(len(h) // 2)],
+          lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1]), 4294967295)) AS h
+      FROM (SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, 'null') || ':' || run)) AS h FROM runs), table_of),
+    w AS (
+      SELECT word, sum(n)::BIGINT AS n
+      FROM (SELECT n, CASE WHEN h % {every} = 0 THEN run[:h % len(run)] || run[h % len(run) + 2:] ELSE run END AS word FROM hashed)
+      WHERE len(word) >= {spelling.LETTERS} GROUP BY word HAVING sum(n) >= {spelling.OCCURRENCES}),
+    less AS (SELECT DISTINCT word, spot, word[:spot] || word[spot + 2:] AS rest, len(word) AS letters, n
+      FROM (SELECT word, n, unnest(range(len(word))) AS spot FROM w)),
+    k AS (
+      SELECT a.word AS a, b.word AS b, b.n FROM less AS a JOIN less AS b ON a.rest = b.rest AND a.spot = b.spot AND a.word <> b.word
+      UNION SELECT a.word, b.word, b.n FROM less AS a JOIN w AS b ON a.rest = b.word
+      UNION SELECT b.word, a.word, a.n FROM less AS a JOIN w AS b ON a.rest = b.word),
+    f AS (SELECT word, w.n, count(k.b) AS n_near, arg_min(k.b, (-k.n, k.b)) AS near, max(k.n) AS near_n FROM w LEFT JOIN k ON k.a = w.word GROUP BY ALL),
+    g AS (SELECT word, n, n_near, CASE WHEN near_n >= {spelling.TIMES} * n THEN near END AS form, CASE WHEN near_n >= {spelling.TIMES} * n THEN near_n END AS form_n FROM f),
+    chain AS (SELECT word, word AS spot FROM g UNION SELECT chain.word, g.form FROM chain JOIN g ON g.word = chain.spot WHERE g.form IS NOT NULL)
+    SELECT g.word, g.form, chain.spot AS root, g.n, g.n_near, g.form_n
+    FROM g JOIN chain USING (word) JOIN g AS last ON last.word = chain.spot AND last.form IS NULL"""
+
+
 ORACLE: dict[str, str] = {
     "op1_secrets": _secrets_sql(),
     "op7_decontaminate": contamination_sql("documents"),
     "op8_mix": f"SELECT doc_id, size, source_size, target, size * copies AS taken FROM ({mix_sql()})",
+    "op11_ranked": ranked_sql(),
+    "op12_embeddings": near_embeddings_sql(),
+    "op13_spelling": spelling_sql(MISSPELT),
 }

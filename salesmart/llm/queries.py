@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontaminate, langid, mixing, quality, resharding, samples, secrets, simhash, sketch, toxicity, warc
+from salesmart.llm import decontaminate, embeddings, langid, mixing, quality, ranked, resharding, samples, secrets, simhash
+from salesmart.llm import sketch, spelling, toxicity, warc
 
 #: One in so many documents is held out of training.
 FOLDS = 5
+#: One in so many runs of letters loses one, so that misspellings are known.
+MISSPELT = 31
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,6 +114,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(quality.score(docs, model), 0.3)
 
 
+def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked.best_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def op12_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"), every=MISSPELT)
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_warc": op2_warc,
@@ -122,4 +139,7 @@ QUERIES: dict[str, Query] = {
     "op8_mix": op8_mix,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_ranked": op11_ranked,
+    "op12_embeddings": op12_embeddings,
+    "op13_spelling": op13_spelling,
 }
