@@ -113,7 +113,7 @@ class Shard:
         self.p, self.counts, self.weights = postings, counts, weights
         self.place = {term: k for k, term in enumerate(postings.terms.tolist())}
         self.blocks: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.spans: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
     def block(self, k: int, number: int) -> tuple[np.ndarray, np.ndarray]:
         """Documents and scores of one block of list ``k``."""
@@ -126,11 +126,18 @@ class Shard:
             self.blocks[number] = docs, impacts(int(self.weights[self.p.terms[k]]), times, self.p.factors[docs])
         return self.blocks[number]
 
-    def whole(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        if k not in self.lists:
-            blocks = [self.block(k, b) for b in range(int(self.p.begins[k]), int(self.p.begins[k + 1]))]
-            self.lists[k] = np.concatenate([b[0] for b in blocks]), np.concatenate([b[1] for b in blocks])
-        return self.lists[k]
+    def span(self, k: int, start: int) -> tuple[np.ndarray, np.ndarray]:
+        """Documents (counted from ``start``) and scores of list ``k`` in one span, from
+        the blocks that reach into it."""
+        if (k, start) not in self.spans:
+            low, high = int(self.p.begins[k]), int(self.p.begins[k + 1])
+            first, end = low + np.searchsorted(self.p.last[low:high], (start, start + SPAN))
+            blocks = [self.block(k, b) for b in range(first, min(end + 1, high))]
+            docs = np.concatenate([b[0] for b in blocks]) if blocks else np.zeros(0, np.int64)
+            score = np.concatenate([b[1] for b in blocks]) if blocks else docs
+            a, b = np.searchsorted(docs, (start, start + SPAN))
+            self.spans[k, start] = docs[a:b] - start, score[a:b]
+        return self.spans[k, start]
 
     def search(self, query: list[tuple[int, int]], top: int) -> tuple[np.ndarray, np.ndarray]:
         """(scores, documents) of the best ``top`` with a score above 0, best first and
@@ -147,9 +154,8 @@ class Shard:
                 break
             sums = np.zeros(min(SPAN, len(p.factors) - start), np.int64)
             for _, k, n in lists[essential:]:
-                held, score = self.whole(k)
-                low, high = np.searchsorted(held, (start, start + len(sums)))
-                sums[held[low:high] - start] += n * score[low:high]
+                held, score = self.span(k, start)
+                sums[held] += n * score
             found = np.flatnonzero(sums)
             found = found[sums[found] + upto[essential] > least]
             if not len(found):

@@ -1,0 +1,117 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter
+from itertools import combinations
+
+import pytest
+from pyspark.sql import functions as F
+
+from salesmart.llm import spelling
+
+
+def edits(a, b):
+    before = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        now = [i]
+        for j, y in enumerate(b, 1):
+            now.append(min(before[j] + 1, now[-1] + 1, before[j - 1] + (x != y)))
+        before = now
+    return before[-1]
+
+
+def brute(words):
+    near = {w: [] for w in words}
+    for a, b in combinations(words, 2):
+        if abs(len(a) - len(b)) < 2 and edits(a, b) == 1:
+            near[a].append(b)
+            near[b].append(a)
+    form = {}
+    for w, found in near.items():
+        best = min(found, key=lambda x: (-words[x], x), default=None)
+        form[w] = best if best and words[best] >= 10 * words[w] else None
+    out = []
+    for w, n in words.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, n, len(near[w]), form[w], form[w] and words[form[w]], root))
+    return sorted(out)
+
+
+def got(df):
+    return sorted(tuple(r) for r in df.select("word", "n", "n_near", "form", "form_n", "root").collect())
+
+
+def table(spark, words):
+    return spark.createDataFrame(list(words.items()), "word string, n long")
+
+
+def test_every_edit_of_every_place(spark):
+    draw = random.Random(2)
+    words = {}
+    for base in ("mixture", "division", "aaaaaaaa", "abababab", "éèéèéèé", "resharding", "abcabcabcab"):
+        words[base] = 1000
+        for i in range(len(base) + 1):
+            words.setdefault(base[:i] + draw.choice("xyzé") + base[i:], draw.choice([1, 50, 100, 101, 999]))
+            if i < len(base):
+                words.setdefault(base[:i] + base[i + 1 :], draw.choice([1, 50, 100, 101, 999]))
+                words.setdefault(base[:i] + draw.choice("abqé") + base[i + 1 :], draw.choice([1, 50, 100, 101, 999]))
+    assert got(spelling.variants(table(spark, words))) == brute(words)
+
+
+def test_pairs_are_found_once(spark):
+    draw = random.Random(4)
+    words = {"".join(draw.choices("ab", k=draw.randrange(7, 10))): draw.randrange(1, 5000) for _ in range(250)}
+    pairs = spelling.links(table(spark, words)).select("a", "b").collect()
+    assert len(pairs) == len({frozenset(p) for p in pairs})
+    assert got(spelling.variants(table(spark, words))) == brute(words)
+
+
+def test_roots_and_ties(spark):
+    chain = ["abcdefg", "abcdefgh", "abcdefghi", "abcdefghij", "abcdefghijk", "abcdefghijkl"]
+    words = {w: 10**k for k, w in enumerate(chain)} | {"lantern": 1, "lanterb": 10, "lanterc": 10, "éclairé": 9}
+    rows = {r[0]: r for r in got(spelling.variants(table(spark, words)))}
+    assert rows["abcdefg"][5] == chain[-1] and rows["abcdefg"][3] == chain[1]
+    assert rows["lantern"][3] == "lanterb"
+    assert rows["éclairé"] == ("éclairé", 9, 0, None, None, "éclairé")
+    assert got(spelling.variants(table(spark, words).where("false"))) == []
+
+
+def test_a_chunk_that_all_words_share(spark):
+    words = {"shared" + a + b + c: 2 for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyz"}
+    rows = got(spelling.variants(table(spark, words)))
+    assert len(rows) == 600 and {r[2] for r in rows} == {9 + 9 + 5}
+
+
+def vocabulary(rows, every=None):
+    import re
+
+    counted = Counter()
+    for key, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            if every:
+                code = zlib.crc32(f"{'null' if key is None else key}:{run}".encode())
+                if code % every == 0:
+                    run = run[: code % len(run)] + run[code % len(run) + 1 :]
+            counted[run] += 1
+    return {w: n for w, n in counted.items() if len(w) >= 7 and n >= 2}
+
+
+@pytest.mark.parametrize("every", [None, 2, 31])
+def test_vocabulary(spark, awkward, clashing, no_docs, every):
+    more = spark.createDataFrame([(20, "Élément élément ÉLÉMENT Straßen-Straßen, straßen ÿÿÿÿÿÿÿ×÷ÿÿÿÿÿÿÿ"), (21, "Elements elements " * 5)], "doc_id long, text string")
+    docs = awkward.select("doc_id", "text").union(more)
+    want = vocabulary([tuple(r) for r in docs.collect()], every)
+    assert {r["word"]: r["n"] for r in spelling.vocabulary(docs, every).collect()} == want
+    assert spelling.vocabulary(clashing.withColumn("word", F.lit(1)), every).count() == spelling.vocabulary(awkward, every).count()
+    assert spelling.vocabulary(no_docs).collect() == []
+
+
+def test_very_long_words(spark):
+    long = "ab" * 20_000
+    words = {long: 100, long[:-1]: 5, "b" + long[1:]: 5, long + "aa": 5}
+    rows = {r[0]: r for r in got(spelling.variants(table(spark, words)))}
+    assert rows[long][2] == 2 and rows[long[:-1]][3] == long and rows[long + "aa"][2] == 0
