@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.sources.csv_sales import read_good_files
 from salesmart.sources.shared import scratch
-from salesmart.sources.tables import append_rows, replace_sales_table
+from salesmart.sources.tables import append_rows, replace_rows
 
 
 class Loaded(NamedTuple):
@@ -28,19 +28,18 @@ def load_csv(
     multiline: bool = False,
     as_of: datetime | None = None,
 ) -> Loaded:
-    """Append all files without a bad row; ``replace`` empties the table first.
+    """Append all files without a bad row; with ``replace`` their rows become all
+    that the table holds.
 
     The files are read and checked before the table is touched: a wrong path is
-    an error, and if no good row is found the table stays as it is.  The parsed
-    copy is deleted after the load.
+    an error, and if no good row is found, or the load fails later, the table stays
+    as it is.  The parsed copy is deleted after the load.
     """
     with scratch(spark):
         good, checked = read_good_files(spark, path, multiline=multiline)
         rows = 0
         if not good.isEmpty():
-            if replace:
-                replace_sales_table(spark, table)
-            rows = append_rows(good, table, as_of=as_of)
+            rows = (replace_rows if replace else append_rows)(good, table, as_of=as_of)
         # One small row for each file, as when the driver listed them.
         rejected = spark.createDataFrame(checked.collect(), checked.schema)
     return Loaded(rows, rejected)
