@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.operators import dashboard, guests, increments, marts, quality, sales
+from salesmart.operators import dashboard, guests, increments, marts, quality, sales, sequences
 from salesmart.operators.derive import with_amounts, with_calendar, with_weekend_uplift
 from salesmart.operators.staging import stg_transactions
+from salesmart.plans import refresh, visit_store
 from salesmart.schema import LOAD_COLUMNS
 from salesmart.sources import csv_sales
 from salesmart.sources.harness import sales_from_orders
-from salesmart.sources.shared import shared_dir
+from salesmart.sources.shared import new_path, shared_dir, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +68,44 @@ def _through_csv(rows: DataFrame) -> DataFrame:
     return csv_sales.read_sales_csv(spark, path)
 
 
+# Years of the loads below, in the order they come: the last one is late.
+LOADS = [(1998, 1999), (1995, 1996), (2000, 2001), (1997, 1997)]
+
+
+def _loads(rows: DataFrame) -> list[DataFrame]:
+    year = F.year("transaction_date")
+    return [rows.filter(year.between(first, last)) for first, last in LOADS]
+
+
+def _carried(rows: DataFrame, how: sequences.Sequence) -> DataFrame:
+    """A visit history extended load by load."""
+    base = new_path(rows.sparkSession, "visit-store")
+    rows = store(rows.select(*sequences.ORDER, "transaction_date", "customer_id", "payment_method", "city"), "visits")
+    for load in _loads(rows):
+        visit_store.extend(load, base, how)
+    return visit_store.history(rows.sparkSession, base, how)
+
+
+def _refreshed_venues(rows: DataFrame) -> DataFrame:
+    """The venue mart after a refresh with each load."""
+    spark, folder = rows.sparkSession, new_path(rows.sparkSession, "venue-parts")
+    rows = store(rows, "sales")
+    for k, load in enumerate(_loads(rows)):
+        seen = rows.filter(F.year("transaction_date").isin(*[y for a, b in LOADS[: k + 1] for y in range(a, b + 1)]))
+        refresh.refresh_venue_performance(seen, folder, [r[0] for r in load.select("transaction_date").distinct().collect()])
+    return refresh.read_venue_performance(spark, folder)
+
+
+def _refreshed_retention(rows: DataFrame) -> DataFrame:
+    """The retention mart after a refresh with each load."""
+    spark, how = rows.sparkSession, sequences.CUSTOMERS
+    base, folder = new_path(spark, "visit-store"), new_path(spark, "retention-parts")
+    rows = store(rows.select(*sequences.ORDER, "transaction_date", "customer_id"), "visits")
+    for load in _loads(rows):
+        refresh.refresh_retention(spark, base, folder, how, [visit_store.extend(load, base, how)])
+    return refresh.read_retention(spark, folder)
+
+
 # Each entry maps the sales fact to a result.
 REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "stg_transactions": stg_transactions,
@@ -99,6 +138,10 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "visit_history_by_customer": lambda s: guests.visit_history_by_customer(s, store_input=True),
     "fct_retention": _retention,
     "fct_retention_by_customer": lambda s: guests.fct_retention(guests.visit_history_by_customer(s, store_input=True)),
+    "visit_history_carried": lambda s: _carried(s, sequences.SEGMENTS),
+    "visit_history_by_customer_carried": lambda s: _carried(s, sequences.CUSTOMERS),
+    "fct_venue_performance_refreshed": _refreshed_venues,
+    "fct_retention_by_customer_refreshed": _refreshed_retention,
     "venue_breakdown": lambda s: sales.value_counts(s, "venue_name"),
     "category_breakdown": lambda s: sales.value_counts(s, "category"),
     "total_revenue": sales.total_revenue,

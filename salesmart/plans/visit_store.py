@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,17 +50,20 @@ def _live(spark: SparkSession, base: str, contents: dict, how: Sequence, visits:
     return sequences.live(visits, moves, how.key_name)
 
 
-def extend(sales: DataFrame, base: str, how: Sequence, *, rows_per_task: int = ROWS_PER_TASK) -> int:
+def extend(sales: DataFrame, base: str, how: Sequence, *, load: str | None = None, rows_per_task: int = ROWS_PER_TASK) -> int:
     """Number the visits of one load and make them part of the history in ``base``.
 
     Reads the state of the keys and, for keys with late visits, the visits from the
     first late one on; visits of other keys are not read.  Loads may come in any
     order and rows may repeat: the history equals a full run over all of them.
-    Returns the version; a load without rows makes none.  A load that fails leaves the version before; two at a
+    Returns the version; a load without rows makes none.  A named ``load`` is taken
+    once: a second time its version is returned and nothing is done.  A load that fails leaves the version before; two at a
     time on one folder end in a ``Conflict`` for one.
     """
     spark = sales.sparkSession
     number, contents = current(spark, base)
+    if load is not None and load in contents.get("loads", {}):
+        return contents["loads"][load]
     with scratch(spark):
         batch, rows = store_counted(how.visits(sales), "load")
         if not rows:
@@ -83,6 +89,7 @@ def extend(sales: DataFrame, base: str, how: Sequence, *, rows_per_task: int = R
             .parquet(f"{base}/{name}")
         )
         contents["visits"] = [*contents.get("visits", []), name]
+        contents["loads"] = contents.get("loads", {}) | ({load: number + 1} if load is not None else {})
         name = new_folder("state-")
         sequences.next_state(state, batch, how.key_name).write.parquet(f"{base}/{name}")
         contents["state"] = [*contents.get("state", []), name]
@@ -106,10 +113,21 @@ def moved_candidates(spark: SparkSession, base: str, contents: dict, how: Sequen
     return _live(spark, base, contents, how, visits).select(*ORDER, how.key_name, NUMBER, how.previous)
 
 
-def history(spark: SparkSession, base: str, how: Sequence) -> DataFrame:
-    """The history as ``visit_history`` or ``visit_history_by_customer`` gives it."""
+def months_of(spark: SparkSession, base: str, how: Sequence, versions: Iterable[int]) -> list[date | None]:
+    """Months in which these versions number visits."""
     _, contents = current(spark, base)
-    rows = _live(spark, base, contents, how, _visits(spark, base, contents, how))
+    rows = _visits(spark, base, contents, how).where(F.col("version").isin(*versions))
+    return [r["month"] for r in rows.select("month").distinct().collect()]
+
+
+def history(spark: SparkSession, base: str, how: Sequence, months: list[date | None] | None = None) -> DataFrame:
+    """The history as ``visit_history`` or ``visit_history_by_customer`` gives it, of all
+    months or of some."""
+    _, contents = current(spark, base)
+    rows = _visits(spark, base, contents, how)
+    if months is not None:
+        rows = rows.where(F.col("month").isin(*[m for m in months if m]) | (F.col("month").isNull() & F.lit(None in months)))
+    rows = _live(spark, base, contents, how, rows)
     return how.labelled(rows.select("transaction_id", "venue_id", "venue_type", TS, "net_amount", how.key_name, NUMBER, how.previous))
 
 
@@ -122,6 +140,6 @@ def compact(spark: SparkSession, base: str, how: Sequence) -> int:
     rows = rows.hint("rebalance", "part", "month").sortWithinPartitions("part", "month", "name", NUMBER)
     rows.write.partitionBy("part", "month").parquet(f"{base}/{visits}")
     sequences.newest_state(_read(spark, base, contents.get("state", []), _STATE)).write.parquet(f"{base}/{state}")
-    commit(spark, base, number + 1, {"visits": [visits], "state": [state]})
+    commit(spark, base, number + 1, {"visits": [visits], "state": [state], "loads": contents.get("loads", {})})
     drop_unlisted(spark, base, {visits, state})
     return number + 1
