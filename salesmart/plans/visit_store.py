@@ -16,7 +16,7 @@ from salesmart.sources.shared import scratch, store, store_counted
 from salesmart.sources.versions import commit, current, drop_unlisted, new_folder
 
 #: Parts of the keys: a late visit reopens the files of its key's part only.
-PARTS = 16
+PARTS = 8
 #: Late keys up to so many are named to the scan, which skips files by them.
 NAMED_KEYS = 1000
 _STATE = "name string, n bigint, last struct<transaction_ts:timestamp_ntz,transaction_id:string,venue_id:string,venue_type:string,net_amount:decimal(8,2)>"
