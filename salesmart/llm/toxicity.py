@@ -1,9 +1,12 @@
 """Toxicity of texts whose words may be disguised.
 
-A language model over characters is counted from the corpus.  Spans that look
-disguised (digits and signs for letters, letters set apart, letters repeated)
-become lattices of what may have been meant, and Viterbi finds the likeliest
-letters under the model.  A classifier of words scores the restored text.
+A language model over characters and the words in use are counted from the corpus.
+Spans that look disguised (digits and signs for letters, letters set apart, letters
+repeated) become lattices of what may have been meant, and Viterbi finds the
+likeliest letters under the model.  A word in use that stands as it is was meant as
+it is and is never decoded; letters that are merely doubled or set apart are taken
+out or joined only where that gives words in use.  A classifier of words scores the
+restored text.
 """
 
 from __future__ import annotations
@@ -11,8 +14,9 @@ from __future__ import annotations
 import functools
 import re
 import unicodedata
+from bisect import bisect_right, insort
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +43,24 @@ MEANT = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t",
 }
-#: Logarithmic costs: a sign for a letter, a repeated letter dropped, a word's end
-#: among letters set apart, a blank or mark dropped between pieces of a word.
-SIGN, DROPPED, SPLIT, JOINED = -1.5, -0.5, -2.0, -0.5
+#: Logarithms of how likely a writer does this: a sign for a letter, a letter drawn out
+#: to three or more, a letter doubled by mistake, a word's end among letters set
+#: apart, a blank or mark put between pieces of a word.
+SIGN, DRAWN, DOUBLED, SPLIT, JOINED = -1.5, -0.5, -6.0, -2.0, -0.5
+#: The same for a doubled letter in a word not in use, before the words' counts are
+#: compared: an unknown word counts for half an occurrence.
+MISTAKEN, UNSEEN = -4.0, 0.5
+#: Share of all words that makes a word one in use: at most the inverse are kept.
+IN_USE = 2e-6
+#: Letters of the words that are counted; letters set apart must give one so long.
+LEAST_LETTERS = 3
+#: Words and spans that a task remembers.
+REMEMBERED = 300_000
 
 _SIGNS = "".join(re.escape(c) for c in MEANT)
 _LETTER = r"[^\W\d_]"
-_HINT = re.compile(rf"({_LETTER})\1|{_LETTER}[{_SIGNS}]|[{_SIGNS}]{_LETTER}")
+_HINT = re.compile(rf"{_LETTER}[{_SIGNS}]|[{_SIGNS}]{_LETTER}")
+_TWICE, _THRICE = re.compile(r"(.)\1"), re.compile(r"(.)\1\1")
 _AROUND = re.compile(rf"(?:{_LETTER}|[{_SIGNS}])+")
 _APART = re.compile(rf"(?<![^\W_])(?:{_LETTER}|[{_SIGNS}])(?:([ .*_-])(?:{_LETTER}|[{_SIGNS}]))(?:\1(?:{_LETTER}|[{_SIGNS}]))+(?![^\W_])")
 _BETWEEN = rf"(?:[^\w{_SIGNS}]|_)"
@@ -81,25 +96,45 @@ def gram_counts(texts: list[str | None]) -> np.ndarray:
     return np.bincount(index[index > 0], minlength=LETTERS ** (CONTEXT + 1))
 
 
-def train_letters(docs: DataFrame) -> np.ndarray:
-    """Log probabilities from all rows of ``docs`` (text), by context and letter.
+def train_corpus(docs: DataFrame) -> tuple[np.ndarray, dict[str, int]]:
+    """Log probabilities of letters by context, and the words in use with their counts,
+    from all rows of ``docs`` (text).
 
-    Tasks send the counts they have; the driver gets 27 ** 4 numbers at most.
+    Tasks send the counts they have.  The driver gets 27 ** 4 numbers at most and,
+    as a word in use has a share of ``IN_USE``, half a million words at most.
     """
-    schema = schema_of("gram int, n long")
+    schema = schema_of("gram int, word string, n long")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(LETTERS ** (CONTEXT + 1), np.int64)
+        words: Counter[str] = Counter()
+
+        def rows(grams, words, n) -> pa.RecordBatch:
+            columns = [pa.array(grams, pa.int32()), pa.array(words, pa.string()), pa.array(n, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=schema.names)
+
         for batch in batches:
             for part in slices(batch):
-                total += gram_counts(part.column(0).to_pylist())
+                texts = part.column(0).to_pylist()
+                total += gram_counts(texts)
+                for text in texts:
+                    words.update(_WORD.findall((text or "").lower()))
+                if len(words) > REMEMBERED:
+                    yield rows([None] * len(words), list(words.keys()), list(words.values()))
+                    words.clear()
+        yield rows([None] * len(words), list(words.keys()), list(words.values()))
         kept = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int32()), pa.array(total[kept], pa.int64())], names=schema.names)
+        yield rows(kept, [None] * len(kept), total[kept])
 
-    rows = map_batches(docs.select("text"), count, schema).groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(LETTERS ** (CONTEXT + 1))
-    counts[rows["gram"].to_numpy()] = rows["n"].to_numpy()
-    return log_probabilities(counts)
+    counted = map_batches(docs.select("text"), count, schema).groupBy("gram", "word").agg(F.sum("n").alias("n"))
+    counted = store(counted.where(F.col("gram").isNotNull() | (F.length("word") >= LEAST_LETTERS)), "letters-and-words")
+    rows = counted.where("gram IS NOT NULL").select("gram", "n").toArrow()
+    grams = np.zeros(LETTERS ** (CONTEXT + 1))
+    grams[rows["gram"].to_numpy()] = rows["n"].to_numpy()
+    words = counted.where("word IS NOT NULL").select("word", "n")
+    least = max(OFTEN, int((words.agg(F.sum("n")).first()[0] or 0) * IN_USE))
+    known = words.where(F.col("n") >= least).toArrow()
+    return log_probabilities(grams), dict(zip(known["word"].to_pylist(), known["n"].to_pylist(), strict=True))
 
 
 def log_probabilities(counts: np.ndarray) -> np.ndarray:
@@ -113,12 +148,14 @@ def log_probabilities(counts: np.ndarray) -> np.ndarray:
 
 
 class Restorer:
-    """What disguised spans mean, under log probabilities of letters."""
+    """What disguised spans mean, under log probabilities of letters and with the words
+    in use.  Without a list of words only the letters count."""
 
-    def __init__(self, letters: np.ndarray) -> None:
-        self.table = letters.tolist()
-        self.decode = functools.lru_cache(maxsize=50_000)(self._decode)
-        self.read = functools.lru_cache(maxsize=50_000)(self._read)
+    def __init__(self, letters: np.ndarray, known: dict[str, int] | None = None) -> None:
+        self.table, self.known = letters.tolist(), known
+        self.decode = functools.lru_cache(maxsize=REMEMBERED)(self._decode)
+        self.read = functools.lru_cache(maxsize=REMEMBERED)(self._read)
+        self.meant = functools.lru_cache(maxsize=REMEMBERED)(self._meant)
 
     def _decode(self, observed: str, apart: bool) -> str:
         """The likeliest letters.  A state is the letters before; a run of one sign
@@ -160,7 +197,7 @@ class Restorer:
                 if n == 1:
                     options.append(once)
                 else:
-                    options.append({k: (v[0] + (DROPPED if n > 2 else 2 * DROPPED), v[1]) for k, v in once.items()})
+                    options.append({k: (v[0] + (DRAWN if n > 2 else DOUBLED), v[1]) for k, v in once.items()})
                     options.append(step(once, code, cost))
             states = best(*options)
             if apart and at < len(observed):
@@ -207,7 +244,7 @@ class Restorer:
             for code in filter(None, codes):
                 letter, cost = chr(code + 96), SIGN if sign in MEANT else 0.0
                 once = step(states, code, letter, cost)
-                options.append({k: (v[0] + (0 if n == 1 else DROPPED if n > 2 else 2 * DROPPED), v[1]) for k, v in once.items()})
+                options.append({k: (v[0] + (0 if n == 1 else DRAWN if n > 2 else DOUBLED), v[1]) for k, v in once.items()})
                 if n > 1:
                     options.append(step(once, code, letter, cost))
                 if n > 2 and sign not in MEANT:
@@ -228,27 +265,56 @@ class Restorer:
         read = "".join(reversed(shown))
         return observed if read == "".join(plain) else read
 
-    def lattices(self, low: str) -> list[tuple[int, int, str]]:
-        """(start, end, reading) of spans of a text in lower case that may be
-        disguised; they do not overlap."""
-        found = []
-        for m in _PIECES.finditer(low):
-            apart = _APART.fullmatch(m[0])
-            found.append((m.start(), m.end(), self.decode(m[0].replace(apart[1], ""), True) if apart else self.read(m[0])))
-        done, inside = 0, iter([*found, (len(low), len(low), "")])
-        a, b, _ = next(inside)
+    def _meant(self, word: str) -> str:
+        """What a word of letters alone was meant to be."""
+        if not _TWICE.search(word) or (self.known is not None and word in self.known):
+            return word
+        if self.known is None or _THRICE.search(word):
+            return self.read(word)
+        best, most = word, float(np.log(UNSEEN))
+        for dropped, other in single(word):
+            value = float(np.log(self.known[other])) + dropped * MISTAKEN if other in self.known else most
+            if value > most:
+                best, most = other, value
+        return best
+
+    def _joined(self, observed: str) -> str:
+        """What pieces set apart were meant to be: as they stand, unless joining them
+        gives words in use and nothing else."""
+        apart = _APART.fullmatch(observed)
+        read = self.decode(observed.replace(apart[1], ""), True) if apart else self.read(observed)
+        if self.known is None:
+            return read
+        pieces = set(_WORD.findall(observed))
+        made = [w for w in _WORD.findall(read) if w not in pieces]
+        good = made and all(len(w) >= LEAST_LETTERS and w in self.known for w in made)
+        return read if good and (not apart or len(made) == len(_WORD.findall(read))) else observed
+
+    def _signs(self, low: str) -> Iterator[re.Match]:
+        """Runs of letters and signs in which a letter stands beside a sign."""
+        done = 0
         for hint in _HINT.finditer(low):
             at = hint.start()
             if at < done:
                 continue
             while at > done and _AROUND.fullmatch(low, at - 1, at):
                 at -= 1
-            m = _AROUND.match(low, at)
-            done = m.end()
-            while b <= at and a < len(low):
-                a, b, _ = next(inside)
-            if done <= a:
-                found.append((at, done, self.read(m[0])))
+            run = _AROUND.match(low, at)
+            done = run.end()
+            yield run
+
+    def lattices(self, low: str) -> list[tuple[int, int, str]]:
+        """(start, end, reading) of spans of a text in lower case that may be
+        disguised; they do not overlap."""
+        found = [(m.start(), m.end(), self._joined(m[0])) for m in _PIECES.finditer(low)]
+        taken = [(a, b) for a, b, _ in found]
+        for m, reading in [*((m, self.read) for m in self._signs(low)), *((m, self.meant) for m in _WORD.finditer(low))]:
+            if reading == self.meant and not _TWICE.search(m[0]):
+                continue
+            k = bisect_right(taken, (m.start(), len(low)))
+            if (k == 0 or taken[k - 1][1] <= m.start()) and (k == len(taken) or m.end() <= taken[k][0]):
+                found.append((m.start(), m.end(), reading(m[0])))
+                insort(taken, (m.start(), m.end()))
         return sorted(found)
 
     def spans(self, low: str) -> list[tuple[int, int, str]]:
@@ -267,18 +333,28 @@ class Restorer:
         """Distinct words of the text as it stands and as it is restored."""
         low = (text or "").lower()
         words = set(_WORD.findall(low))
-        for a, b, meant in self.lattices(low):
-            if meant != low[a:b]:
-                words.update(_WORD.findall(meant))
+        words.update([self.meant(w) for w in words])
+        for m in self._signs(low):
+            words.update(_WORD.findall(self.read(m[0])))
             # The likeliest reading as letters alone counts as well.
-            letters = low[a:b].rstrip("@$!|+")
+            letters = m[0].rstrip("@$!|+")
             if not letters.isalpha() and _AROUND.fullmatch(letters):
                 words.update(self.decode(letters, False).split())
-        for m in _APART.finditer(low):
-            words.update(self.decode(m[0].replace(m[1], ""), True).split())
+        for m in _PIECES.finditer(low):
+            words.update(_WORD.findall(self._joined(m[0])))
         return words
 
 
+def single(word: str) -> list[tuple[int, str]]:
+    """(letters dropped, word) with some of its doubled letters single, one at a time
+    or all."""
+    at = [m.start() for m in _TWICE.finditer(word)]
+    found = [(1, word[:k] + word[k + 1 :]) for k in at]
+    if len(at) > 1:
+        found.append((len(at), _TWICE.sub(r"\1", word)))
+    return found
+
+
 def features(words: set[str]) -> set[str]:
     """The words, the beginnings of longer ones ('abcd-'), and those that several of
     the words share ('abcd--')."""
@@ -288,29 +364,64 @@ def features(words: set[str]) -> set[str]:
 
 @functools.lru_cache(maxsize=1)
 def _restorer(shared) -> Restorer:
-    return Restorer(shared.value)
+    return Restorer(*shared.value)
 
 
 class Model:
     """Weights of words; the score is the logistic function of their sum."""
 
     def __init__(self, weights: dict[str, float], bias: float) -> None:
-        self.weights, self.bias = weights, bias
-
-    def score(self, words: set[str]) -> float:
-        total = self.bias + sum(self.weights[w] for w in sorted(self.weights.keys() & features(words)))
+        self.names = sorted(weights)
+        self.weights, self.bias = [weights[w] for w in self.names], bias
+        self.number = {w: k for k, w in enumerate(self.names)}
+        self.seen: dict[str, tuple[list[int], list[int]]] = {}
+
+    def of_word(self, word: str) -> tuple[list[int], list[int]]:
+        """Numbers of the features that a word has by itself, and with another one."""
+        begins = [word[:n] for n in BEGINNINGS if len(word) > n]
+        alone = [word, *(f"{b}-" for b in begins)]
+        return tuple([self.number[f] for f in fs if f in self.number] for fs in (alone, [f"{b}--" for b in begins]))
+
+    def present(self, words: Iterable[str]) -> list[int]:
+        """Numbers of the features of a text with these distinct words, ascending."""
+        found, shared, seen = set(), Counter(), self.seen
+        if len(seen) > REMEMBERED:
+            seen.clear()
+        for word in words:
+            if word not in seen:
+                seen[word] = self.of_word(word)
+            alone, with_others = seen[word]
+            if alone:
+                found.update(alone)
+            if with_others:
+                shared.update(with_others)
+        return sorted(found.union(f for f, n in shared.items() if n > 1))
+
+    def score(self, words: Iterable[str]) -> float:
+        total = self.bias + sum(self.weights[k] for k in self.present(words))
         return float(1 / (1 + np.exp(-total)))
 
 
-def train_words(sample: DataFrame, shared_letters) -> Model:
+def train_words(sample: DataFrame, shared) -> Model:
     """A logistic model of ``sample`` (text, toxic), which is bounded.
 
-    Spark counts the words; the driver sees those that tell most, and which of
-    them each sampled text has.  Without rows all scores are 0.
+    Its texts are restored once.  Spark counts the words; the driver sees those that
+    tell most, and which of them each sampled text has.  Without rows all scores
+    are 0.
     """
+    base = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
+    n, share = base["n"], (base["toxic"] or 0) / max(base["n"], 1)
+    if not n or share in (0, 1):
+        return Model({}, -np.inf if share == 0 else np.inf)
+
+    def words_of():
+        restorer = _restorer(shared)
+        return lambda texts: [[sorted(restorer.words(t)) for t in texts]]
+
+    restored = store(append_columns(sample, ["text"], words_of, "words array<string>").select("words", "toxic"), "sample-words")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, seen = _restorer(shared_letters), (Counter(), Counter())
+        seen = Counter(), Counter()
 
         def flush() -> pa.RecordBatch:
             rows = [(w, n, seen[1][w]) for w, n in seen[0].items()]
@@ -322,37 +433,28 @@ def train_words(sample: DataFrame, shared_letters) -> Model:
 
         for batch in batches:
             for part in slices(batch):
-                for text, toxic in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    words = features(restorer.words(text))
-                    seen[0].update(words)
+                for words, toxic in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    own = features(set(words))
+                    seen[0].update(own)
                     if toxic:
-                        seen[1].update(words)
-                if len(seen[0]) > 200_000:
+                        seen[1].update(own)
+                if len(seen[0]) > REMEMBERED:
                     yield flush()
         yield flush()
 
-    base = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
-    n, share = base["n"], (base["toxic"] or 0) / max(base["n"], 1)
-    if not n or share in (0, 1):
-        return Model({}, -np.inf if share == 0 else np.inf)
-    counted = map_batches(sample, count, schema_of("word string, n long, toxic long"))
+    counted = map_batches(restored, count, schema_of("word string, n long, toxic long"))
     counted = counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).where(F.col("n") >= OFTEN)
     apart = F.abs(F.col("toxic") / F.col("n") - share) / F.sqrt(F.lit(share * (1 - share)) / F.col("n"))
     chosen = counted.withColumn("apart", apart).where(F.col("apart") > APART).orderBy(F.desc("apart"), "word").limit(FEATURES)
-    telling = [r["word"] for r in chosen.select("word").collect()]
-    number = {w: i for i, w in enumerate(telling)}
+    telling = Model({r["word"]: 0.0 for r in chosen.select("word").collect()}, 0.0)
 
-    def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = _restorer(shared_letters)
-        for batch in batches:
-            for part in slices(batch):
-                texts, toxic = (c.to_pylist() for c in part.columns)
-                rows = [sorted(number[w] for w in number.keys() & features(restorer.words(t))) for t in texts]
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array(toxic, pa.int32())], names=["words", "toxic"])
+    def present():
+        return lambda words: [[telling.present(w) for w in words]]
 
-    rows = sorted((tuple(r["words"]), r["toxic"]) for r in map_batches(sample, present, schema_of("words array<int>, toxic int")).collect())
-    weights, bias = fit([r[0] for r in rows], np.array([r[1] for r in rows]), len(telling))
-    return Model(dict(zip(telling, weights.tolist(), strict=True)), bias)
+    known = append_columns(restored, ["words"], present, "found array<int>").select("found", "toxic")
+    rows = sorted((tuple(r["found"]), r["toxic"]) for r in known.collect())
+    weights, bias = fit([r[0] for r in rows], np.array([r[1] for r in rows]), len(telling.names))
+    return Model(dict(zip(telling.names, weights.tolist(), strict=True)), bias)
 
 
 def fit(rows: list[tuple[int, ...]], labels: np.ndarray, width: int, steps: int = 400, ridge: float = 1.0) -> tuple[np.ndarray, float]:
@@ -372,11 +474,11 @@ def fit(rows: list[tuple[int, ...]], labels: np.ndarray, width: int, steps: int
 
 
 def train(corpus: DataFrame, sample: DataFrame) -> tuple:
-    """Letters counted over all of ``corpus`` (text) and a word model of ``sample``
-    (text, toxic), as a broadcast and a model.  The sample is bounded and read three
-    times, so it is stored."""
+    """Letters and words counted over all of ``corpus`` (text) and a word model of
+    ``sample`` (text, toxic), as a broadcast and a model.  The sample is bounded and
+    read more than once, so it is stored."""
     sample = store(sample, "toxicity-sample")
-    shared = corpus.sparkSession.sparkContext.broadcast(train_letters(corpus))  # 27 ** 4 numbers
+    shared = corpus.sparkSession.sparkContext.broadcast(train_corpus(corpus))  # bounded: see there
     return shared, train_words(sample, shared)
 
 
