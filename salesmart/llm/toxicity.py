@@ -16,7 +16,7 @@ import re
 import unicodedata
 from bisect import bisect_right, insort
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Container, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,11 +49,11 @@ MEANT = {
 SIGN, DRAWN, DOUBLED, SPLIT, JOINED = -1.5, -0.5, -6.0, -2.0, -0.5
 #: The same for a doubled letter in a word not in use, before the words' counts are
 #: compared: an unknown word counts for half an occurrence.
-MISTAKEN, UNSEEN = -4.0, 0.5
+MISTAKEN, UNSEEN = -6.0, 0.5
 #: Share of all words that makes a word one in use: at most the inverse are kept.
 IN_USE = 2e-6
-#: Letters of the words that are counted; letters set apart must give one so long.
-LEAST_LETTERS = 3
+#: Letters of a word that a disguise may hide, at least.
+LEAST_LETTERS = 4
 #: Words and spans that a task remembers.
 REMEMBERED = 300_000
 
@@ -127,7 +127,7 @@ def train_corpus(docs: DataFrame) -> tuple[np.ndarray, dict[str, int]]:
         yield rows(kept, [None] * len(kept), total[kept])
 
     counted = map_batches(docs.select("text"), count, schema).groupBy("gram", "word").agg(F.sum("n").alias("n"))
-    counted = store(counted.where(F.col("gram").isNotNull() | (F.length("word") >= LEAST_LETTERS)), "letters-and-words")
+    counted = store(counted, "letters-and-words")
     rows = counted.where("gram IS NOT NULL").select("gram", "n").toArrow()
     grams = np.zeros(LETTERS ** (CONTEXT + 1))
     grams[rows["gram"].to_numpy()] = rows["n"].to_numpy()
@@ -270,25 +270,43 @@ class Restorer:
         if not _TWICE.search(word) or (self.known is not None and word in self.known):
             return word
         if self.known is None or _THRICE.search(word):
-            return self.read(word)
+            read = self.read(word)
+            return read if self._in_use(read) else word
         best, most = word, float(np.log(UNSEEN))
         for dropped, other in single(word):
+            if len(other) < LEAST_LETTERS:
+                continue
             value = float(np.log(self.known[other])) + dropped * MISTAKEN if other in self.known else most
             if value > most:
                 best, most = other, value
         return best
 
+    def _in_use(self, read: str, besides: Container[str] = ()) -> bool:
+        """Whether a reading has words, and only words in use (or ``besides``), long
+        enough to be what a disguise hides."""
+        words = [w for w in _WORD.findall(read) if w not in besides]
+        return self.known is None or bool(words) and all(len(w) >= LEAST_LETTERS and w in self.known for w in words)
+
     def _joined(self, observed: str) -> str:
-        """What pieces set apart were meant to be: as they stand, unless joining them
-        gives words in use and nothing else."""
+        """What pieces set apart were meant to be: as they stand if they are short words
+        in use, or unless joining them gives words in use."""
         apart = _APART.fullmatch(observed)
         read = self.decode(observed.replace(apart[1], ""), True) if apart else self.read(observed)
         if self.known is None:
             return read
-        pieces = set(_WORD.findall(observed))
-        made = [w for w in _WORD.findall(read) if w not in pieces]
-        good = made and all(len(w) >= LEAST_LETTERS and w in self.known for w in made)
-        return read if good and (not apart or len(made) == len(_WORD.findall(read))) else observed
+        pieces = _AROUND.findall(observed)
+        longer = [p for p in pieces if len(p) > 1]
+        if len(pieces) - len(longer) < 3 and all(p in self.known for p in longer):
+            return observed
+        return read if self._in_use(read, () if apart else pieces) else observed
+
+    def _unsigned(self, observed: str) -> str:
+        """What a run of letters and signs was meant to be, if that is words in use."""
+        read = self.read(observed)
+        if self._in_use(read):
+            return read
+        letters = self.decode(observed, False)
+        return letters if self._in_use(letters) else observed
 
     def _signs(self, low: str) -> Iterator[re.Match]:
         """Runs of letters and signs in which a letter stands beside a sign."""
@@ -308,7 +326,7 @@ class Restorer:
         disguised; they do not overlap."""
         found = [(m.start(), m.end(), self._joined(m[0])) for m in _PIECES.finditer(low)]
         taken = [(a, b) for a, b, _ in found]
-        for m, reading in [*((m, self.read) for m in self._signs(low)), *((m, self.meant) for m in _WORD.finditer(low))]:
+        for m, reading in [*((m, self._unsigned) for m in self._signs(low)), *((m, self.meant) for m in _WORD.finditer(low))]:
             if reading == self.meant and not _TWICE.search(m[0]):
                 continue
             k = bisect_right(taken, (m.start(), len(low)))

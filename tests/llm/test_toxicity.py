@@ -132,3 +132,65 @@ def test_awkward_rows(spark, make_docs, awkward, clashing, no_docs):
     assert toxicity.score(no_docs, trained).collect() == []
     none = no_docs.select("text", F.lit(1).alias("toxic"))
     assert {r["score"] for r in toxicity.score(awkward, toxicity.train(no_docs, none)).collect()} == {0.0}
+
+
+ORDINARY = """
+committee meet school hall bookkeeper assessment tennessee success worthless address balloon coffee dinner effort
+follow glass happy irregular jelly kitten letter middle narrow occur pepper quarrel rabbit summer tomorrow unnecessary
+village wedding yellow zoom accommodate embarrass all too off see add less class across process possible
+schiff schifffahrt kaffee wasser sommer zimmer bitte kommen können müssen alle immer himmel nummer besser essen
+elle belle homme femme personne année ville famille pomme nouvelle bonne terre guerre effet occasion appeler
+""".split()
+
+
+@pytest.fixture(scope="module")
+def informed(restorer):
+    draw = random.Random(0)
+    counts = {w: 300 for w in WORDS}
+    return toxicity.Restorer(np.array(restorer.table), counts | {w: 20 for w in draw.sample(ORDINARY, len(ORDINARY) // 2)})
+
+
+def test_ordinary_words_stay(informed):
+    for word in ORDINARY:
+        assert informed.restore(word) == word
+        assert informed.words(word) == {word}
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["a b c d e", "x = a + b * c - d", "u.s.a. and e. g. this", "see 3d and 4x4, mp3 b2b covid19 2nd 1st i7", "the committee will meet in the school hall", "st00pid fool"],
+)
+def test_ordinary_texts_stay(informed, text):
+    assert informed.restore(text) == text
+
+
+@pytest.mark.parametrize(
+    ("seen", "meant"),
+    [
+        ("you 1d10t here", "you idiot here"), ("i d i o t", "idiot"), ("C.L.O.W.N!", "clown!"), ("stuuuupid", "stupid"),
+        ("tr@sh!! and $cum", "trash!! and scum"), ("p-a-t-h-e-t-i-c", "pathetic"), ("1 d 1 0 t", "idiot"), ("i d i o t c l o w n", "idiot clown"),
+        ("stuupid", "stupid"), ("cclown", "clown"), ("idio+", "idiot"), ("1d10+", "idiot"), ("worthle$$", "worthless"), ("$tupid", "stupid"),
+        ("i. d. i. o. t", "idiot"), ("i d-i.o t", "idiot"), ("st up id", "stupid"), ("an i d i o t", "an idiot"), ("worthless scum!", "worthless scum!"),
+    ],
+)
+def test_disguises_with_the_words_in_use(informed, seen, meant):
+    assert informed.restore(seen) == meant
+    assert set(meant.strip("!").replace("!!", "").split()) <= informed.words(seen)
+
+
+def test_words_in_use_are_counted(spark, make_docs):
+    docs = make_docs([(i, "Common common rare%d" % i, None, None, None) for i in range(30)] + [(99, None, None, None, None)])
+    letters, known = toxicity.train_corpus(docs.repartition(4))
+    assert known == {"common": 60, "rare": 30} and letters.shape == (27**4,)
+
+
+def test_features_of_words_are_those_of_the_text():
+    draw = random.Random(9)
+    words = ["".join(draw.choices("abc", k=draw.randrange(3, 8))) for _ in range(400)]
+    names = {f: draw.uniform(-1, 1) for f in draw.sample(sorted(toxicity.features(set(words))), 300)}
+    model = toxicity.Model(names, -0.5)
+    for _ in range(50):
+        text = set(draw.sample(words, 20))
+        want = sorted(names.keys() & toxicity.features(text))
+        assert [model.names[k] for k in model.present(text)] == want
+        assert np.isclose(model.score(text), 1 / (1 + np.exp(0.5 - sum(names[w] for w in want))))
