@@ -59,14 +59,18 @@ REMEMBERED = 300_000
 
 _SIGNS = "".join(re.escape(c) for c in MEANT)
 _LETTER = r"[^\W\d_]"
-_HINT = re.compile(rf"{_LETTER}[{_SIGNS}]|[{_SIGNS}]{_LETTER}")
+_HINT = re.compile(rf"[{_SIGNS}]+")
 _TWICE, _THRICE = re.compile(r"(.)\1"), re.compile(r"(.)\1\1")
 _AROUND = re.compile(rf"(?:{_LETTER}|[{_SIGNS}])+")
 _APART = re.compile(rf"(?<![^\W_])(?:{_LETTER}|[{_SIGNS}])(?:([ .*_-])(?:{_LETTER}|[{_SIGNS}]))(?:\1(?:{_LETTER}|[{_SIGNS}]))+(?![^\W_])")
 _BETWEEN = rf"(?:[^\w{_SIGNS}]|_)"
-_PIECES = re.compile(rf"(?<![^\W_])(?:{_LETTER}|[{_SIGNS}]){{1,2}}(?:{_BETWEEN}{{1,3}}(?:{_LETTER}|[{_SIGNS}]){{1,2}}){{2,}}(?![^\W_])")
+# What stands before the first piece is matched too: a search for one of few signs is
+# quicker than a look back at every place.
+_PIECES = re.compile(rf"[\W_]((?:{_LETTER}|[{_SIGNS}]){{1,2}}(?:{_BETWEEN}{{1,3}}(?:{_LETTER}|[{_SIGNS}]){{1,2}}){{2,}})(?![^\W_])")
 _RUN = re.compile(rf"{_BETWEEN}+|(.)\1*", re.DOTALL)
 _WORD = re.compile(rf"{_LETTER}+")
+# Marks around a word that are no letters: of exclamation, or three equal signs and more.
+_MARKS = re.compile(rf"^(?:!+|([{_SIGNS}])\1\1+)|(?:!+|([{_SIGNS}])\2\2+)$")
 
 
 @functools.cache
@@ -84,6 +88,11 @@ def fold(text: str) -> np.ndarray:
     return _folded()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
 
 
+@functools.lru_cache(maxsize=4096)
+def _letter(sign: str) -> int:
+    return int(fold(sign)[0])
+
+
 def gram_counts(texts: list[str | None]) -> np.ndarray:
     """Letters after the letters before them in their word, and ends of words."""
     code = np.concatenate([np.zeros(CONTEXT, np.uint8), fold("\n".join(t or "" for t in texts) + "\n")]).astype(np.int64)
@@ -156,6 +165,8 @@ class Restorer:
         self.decode = functools.lru_cache(maxsize=REMEMBERED)(self._decode)
         self.read = functools.lru_cache(maxsize=REMEMBERED)(self._read)
         self.meant = functools.lru_cache(maxsize=REMEMBERED)(self._meant)
+        # Words that were meant as they stand.
+        self.plain: set[str] = set()
 
     def _decode(self, observed: str, apart: bool) -> str:
         """The likeliest letters.  A state is the letters before; a run of one sign
@@ -189,7 +200,7 @@ class Restorer:
                 n += 1
             at += n
             meant = MEANT.get(sign)
-            codes = [ord(c) - 96 for c in meant] if meant else [int(fold(sign)[0])]
+            codes = [ord(c) - 96 for c in meant] if meant else [_letter(sign)]
             options = []
             for code in codes:
                 cost = SIGN if meant else 0.0
@@ -232,7 +243,7 @@ class Restorer:
         plain = []
         for m in _RUN.finditer(observed):
             part, sign, n = m[0], m[1], len(m[0])
-            codes = [] if sign is None else [ord(c) - 96 for c in MEANT[sign]] if sign in MEANT else [int(fold(sign)[0])]
+            codes = [] if sign is None else [ord(c) - 96 for c in MEANT[sign]] if sign in MEANT else [_letter(sign)]
             options = []
             if sign is None or sign in MEANT or codes == [0]:
                 options.append(step(states, 0, part, 0.0))
@@ -290,18 +301,22 @@ class Restorer:
     def _joined(self, observed: str) -> str:
         """What pieces set apart were meant to be: as they stand if they are short words
         in use, or unless joining them gives words in use."""
+        if self.known is not None:
+            pieces = _AROUND.findall(observed)
+            longer = [p for p in pieces if len(p) > 1]
+            if len(pieces) - len(longer) < 3 and all(p in self.known for p in longer):
+                return observed
         apart = _APART.fullmatch(observed)
         read = self.decode(observed.replace(apart[1], ""), True) if apart else self.read(observed)
         if self.known is None:
             return read
-        pieces = _AROUND.findall(observed)
-        longer = [p for p in pieces if len(p) > 1]
-        if len(pieces) - len(longer) < 3 and all(p in self.known for p in longer):
-            return observed
         return read if self._in_use(read, () if apart else pieces) else observed
 
     def _unsigned(self, observed: str) -> str:
         """What a run of letters and signs was meant to be, if that is words in use."""
+        word = _MARKS.sub("", observed)
+        if word.isalpha():
+            return observed.replace(word, self.meant(word))
         read = self.read(observed)
         if self._in_use(read):
             return read
@@ -312,8 +327,8 @@ class Restorer:
         """Runs of letters and signs in which a letter stands beside a sign."""
         done = 0
         for hint in _HINT.finditer(low):
-            at = hint.start()
-            if at < done:
+            at, end = hint.span()
+            if at < done or not (_WORD.match(low, end, end + 1) or at and _WORD.match(low, at - 1, at)):
                 continue
             while at > done and _AROUND.fullmatch(low, at - 1, at):
                 at -= 1
@@ -324,7 +339,7 @@ class Restorer:
     def lattices(self, low: str) -> list[tuple[int, int, str]]:
         """(start, end, reading) of spans of a text in lower case that may be
         disguised; they do not overlap."""
-        found = [(m.start(), m.end(), self._joined(m[0])) for m in _PIECES.finditer(low)]
+        found = [(m.start(1) - 1, m.end(1) - 1, self._joined(m[1])) for m in _PIECES.finditer(f" {low}")]
         taken = [(a, b) for a, b, _ in found]
         for m, reading in [*((m, self._unsigned) for m in self._signs(low)), *((m, self.meant) for m in _WORD.finditer(low))]:
             if reading == self.meant and not _TWICE.search(m[0]):
@@ -351,15 +366,24 @@ class Restorer:
         """Distinct words of the text as it stands and as it is restored."""
         low = (text or "").lower()
         words = set(_WORD.findall(low))
-        words.update([self.meant(w) for w in words])
+        if len(self.plain) > REMEMBERED:
+            self.plain.clear()
+        for word in words - self.plain:
+            meant = self._meant(word)
+            if meant == word:
+                self.plain.add(word)
+            else:
+                words.add(meant)
         for m in self._signs(low):
+            if _MARKS.sub("", m[0]).isalpha():
+                continue
             words.update(_WORD.findall(self.read(m[0])))
             # The likeliest reading as letters alone counts as well.
             letters = m[0].rstrip("@$!|+")
             if not letters.isalpha() and _AROUND.fullmatch(letters):
                 words.update(self.decode(letters, False).split())
-        for m in _PIECES.finditer(low):
-            words.update(_WORD.findall(self._joined(m[0])))
+        for m in _PIECES.finditer(f" {low}"):
+            words.update(_WORD.findall(self._joined(m[1])))
         return words
 
 
@@ -392,6 +416,8 @@ class Model:
         self.names = sorted(weights)
         self.weights, self.bias = [weights[w] for w in self.names], bias
         self.number = {w: k for k, w in enumerate(self.names)}
+        #: How words with a feature begin.
+        self.begins = {w.rstrip("-")[: BEGINNINGS[0]] for w in self.names}
         self.seen: dict[str, tuple[list[int], list[int]]] = {}
 
     def of_word(self, word: str) -> tuple[list[int], list[int]]:
@@ -405,7 +431,8 @@ class Model:
         found, shared, seen = set(), Counter(), self.seen
         if len(seen) > REMEMBERED:
             seen.clear()
-        for word in words:
+        begins, n = self.begins, BEGINNINGS[0]
+        for word in [w for w in words if w[:n] in begins]:
             if word not in seen:
                 seen[word] = self.of_word(word)
             alone, with_others = seen[word]
