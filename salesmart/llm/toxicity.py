@@ -64,9 +64,11 @@ _TWICE, _THRICE = re.compile(r"(.)\1"), re.compile(r"(.)\1\1")
 _AROUND = re.compile(rf"(?:{_LETTER}|[{_SIGNS}])+")
 _APART = re.compile(rf"(?<![^\W_])(?:{_LETTER}|[{_SIGNS}])(?:([ .*_-])(?:{_LETTER}|[{_SIGNS}]))(?:\1(?:{_LETTER}|[{_SIGNS}]))+(?![^\W_])")
 _BETWEEN = rf"(?:[^\w{_SIGNS}]|_)"
-# What stands before the first piece is matched too: a search for one of few signs is
-# quicker than a look back at every place.
-_PIECES = re.compile(rf"[\W_]((?:{_LETTER}|[{_SIGNS}]){{1,2}}(?:{_BETWEEN}{{1,3}}(?:{_LETTER}|[{_SIGNS}]){{1,2}}){{2,}})(?![^\W_])")
+# For the search of pieces set apart, signs that are no digits are letters of no use
+# else, so that a class of characters says what a piece is.
+_MARKED = dict(zip("@$!|+", "ªºµþð", strict=True))
+_LIKE = "".join(_MARKED.values())
+_PIECES = re.compile(rf"[\W_{_LIKE}]([^\W26_]{{1,2}}(?:[\W_]{{1,3}}[^\W26_]{{1,2}}){{2,}})(?![^\W_{_LIKE}])")
 _RUN = re.compile(rf"{_BETWEEN}+|(.)\1*", re.DOTALL)
 _WORD = re.compile(rf"{_LETTER}+")
 # Marks around a word that are no letters: of exclamation, or three equal signs and more.
@@ -339,7 +341,7 @@ class Restorer:
     def lattices(self, low: str) -> list[tuple[int, int, str]]:
         """(start, end, reading) of spans of a text in lower case that may be
         disguised; they do not overlap."""
-        found = [(m.start(1) - 1, m.end(1) - 1, self._joined(m[1])) for m in _PIECES.finditer(f" {low}")]
+        found = [(a, b, self._joined(low[a:b])) for a, b in set_apart(low)]
         taken = [(a, b) for a, b, _ in found]
         for m, reading in [*((m, self._unsigned) for m in self._signs(low)), *((m, self.meant) for m in _WORD.finditer(low))]:
             if reading == self.meant and not _TWICE.search(m[0]):
@@ -382,11 +384,21 @@ class Restorer:
             letters = m[0].rstrip("@$!|+")
             if not letters.isalpha() and _AROUND.fullmatch(letters):
                 words.update(self.decode(letters, False).split())
-        for m in _PIECES.finditer(f" {low}"):
-            words.update(_WORD.findall(self._joined(m[1])))
+        for a, b in set_apart(low):
+            words.update(_WORD.findall(self._joined(low[a:b])))
         return words
 
 
+def set_apart(low: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of three pieces or more of one or two letters or signs, with up to
+    three blanks or marks between them."""
+    marked = f" {low}"
+    for sign, letter in _MARKED.items():
+        marked = marked.replace(sign, letter)
+    for m in _PIECES.finditer(marked):
+        yield m.start(1) - 1, m.end(1) - 1
+
+
 def single(word: str) -> list[tuple[int, str]]:
     """(letters dropped, word) with some of its doubled letters single, one at a time
     or all."""
