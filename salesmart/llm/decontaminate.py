@@ -20,9 +20,10 @@ from salesmart.llm.batches import append_columns
 
 WINDOW = 13
 
-#: UTF-8 bytes of item texts in one automaton.  A larger benchmark is scanned in
-#: as many passes as it takes; the driver holds the items of one pass at a time.
-PASS_BYTES = 16_000_000
+#: UTF-8 bytes of item texts in one automaton, which takes some 500 bytes for each of
+#: them in every worker.  A larger benchmark is scanned in as many passes as it takes;
+#: the driver holds the items of one pass at a time.
+PASS_BYTES = 1_000_000
 
 #: Each byte as part of a word in lower case, or as a blank.  Bytes from 0x80 on
 #: belong to words, so this works on UTF-8 without decoding.

@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 import re
 
+from conftest import ROOT
+
 from salesmart.llm import decontaminate as dc
 
 ITEMS = "item_id long, text string"
@@ -69,3 +71,23 @@ def test_awkward_rows(spark, awkward, clashing, no_docs):
     assert dc.contamination(no_docs, bench).collect() == []
     none = dc.contamination(awkward, spark.createDataFrame([], ITEMS)).collect()
     assert {(r["n_hit"], r["contaminated"]) for r in none} == {(0, False)}
+
+
+def test_memory_of_a_whole_pass():
+    """An automaton of ``PASS_BYTES`` of items, in a process of its own."""
+    import subprocess
+    import sys
+
+    code = """
+import random, resource
+from salesmart.llm import decontaminate as d
+draw = random.Random(1)
+words = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(20000)]
+items = [(str(i), " ".join(draw.choices(words, k=100))) for i in range(d.PASS_BYTES // 700)]
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+matcher = d.Matcher(items)
+assert matcher.find(d.words_of(items[5][1]))[0] == [(0, 100)]
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=str(ROOT))
+    assert int(out.stdout.split()[-1]) < 700
