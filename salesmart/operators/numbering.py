@@ -40,8 +40,8 @@ def visit_numbers(
     """Add each row's position within ``key`` by time and the ``ts`` before it.
 
     Rows equal in ``ts`` are ordered by ``ties``, then by the other columns, so
-    only exact copies are interchangeable.  ``few_keys``: rows are counted by key
-    and piece at once, which saves a reading where keys are few and large.
+    only exact copies are interchangeable.  ``few_keys``: large keys hold most rows,
+    so that pieces are counted over all rows, without a join before.
     """
     order = [ts, *ties, *[c for c in rows.columns if c not in (key, ts, *ties)]]
     # Never NULL, so that equal keys meet in ordinary equi-joins below.
@@ -51,11 +51,7 @@ def visit_numbers(
     counted = [F.count("*").alias("__rows"), F.max(ts).alias("__last")]
     group = ["__group", "__piece"]
 
-    if few_keys:
-        sizes = store(rows.groupBy(name.alias("__group"), piece.alias("__piece")).agg(*counted), "all-pieces")
-        keys = sizes.groupBy("__group").agg(F.sum("__rows").alias("__rows"))
-    else:
-        keys = rows.groupBy(name.alias("__group")).agg(F.count("*").alias("__rows"))
+    keys = rows.groupBy(name.alias("__group")).agg(F.count("*").alias("__rows"))
     large_keys, n_large = store_counted(keys.filter(F.col("__rows") > rows_per_task), "large-keys")
     if not n_large:
         return _numbered(rows, [key], order, ts, number, previous)
@@ -68,7 +64,8 @@ def visit_numbers(
     )
     # One row per large key and piece: as long as the calendar, not the data.
     if few_keys:
-        sizes = sizes.join(large_keys, "__group", "left_semi")
+        sizes = rows.groupBy(name.alias("__group"), piece.alias("__piece")).agg(*counted)
+        sizes = store(sizes.join(large_keys, "__group", "left_semi"), "pieces")
     else:
         sizes = store(pieces.filter("__is_large").groupBy(*group).agg(*counted), "pieces")
     pieces = pieces.drop("__is_large")
