@@ -68,8 +68,8 @@ def _through_csv(rows: DataFrame) -> DataFrame:
     return csv_sales.read_sales_csv(spark, path)
 
 
-# Years of the loads below, in the order they come: the last one is late.
-LOADS = [(1998, 1999), (1995, 1996), (2000, 2001), (1997, 1997)]
+# Years of the loads below, in the order they come: all but the first are late.
+LOADS = [(1998, 2001), (1995, 1996), (1997, 1997)]
 
 
 def _loads(rows: DataFrame) -> list[DataFrame]:
