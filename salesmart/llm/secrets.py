@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import re
+from array import array
 from collections.abc import Iterable
 from dataclasses import dataclass
 from re import _constants as sre
@@ -201,15 +202,28 @@ class Scanner:
         self.begins = build(rules, backwards=True, anywhere=True)
         self.longest = build(rules, backwards=False, anywhere=False)
 
-    def beginnings(self, data: bytes) -> list[tuple[int, int]]:
-        """(position, state) wherever a match begins, last first."""
+    def beginnings(self, data: bytes) -> tuple[array, array, list[tuple[int, ...]]]:
+        """Runs of bytes at each of which matches of the same rules begin, last run
+        first: their first bytes, last bytes and rules.  A long match that could
+        begin at each of its bytes is one run, so memory follows the matches."""
         table, state, accepting = self.begins.table, self.begins.start, self.begins.accepting
-        found = []
+        rules_of = self.begins.rules
+        low, high, owners = array("q"), array("q"), []
+        size, last, owner = len(data), -1, ()
         for left, char in enumerate(reversed(data.translate(self.begins.classes)), 1):
             state = table[state + char]
             if state >= accepting:
-                found.append((left, state))
-        return [(len(data) - left, state) for left, state in found]
+                now = rules_of[state]
+                if left != last + 1 or now != owner:
+                    if owner:
+                        low.append(size - last)
+                    high.append(size - left)
+                    owners.append(now)
+                    owner = now
+                last = left
+        if owner:
+            low.append(size - last)
+        return low, high, owners
 
     def ends(self, data: bytes, at: int) -> dict[int, int]:
         """The longest end from ``at`` for each rule."""
@@ -228,17 +242,20 @@ class Scanner:
         """(kind, start, end) in code points, by start, then by the order of rules."""
         data = (text or "").encode("utf-8", "surrogatepass")
         used, found = [0] * len(self.rules), []
-        for at, state in reversed(self.beginnings(data)):
-            open_rules = [r for r in self.begins.rules[state] if used[r] <= at]
-            if not open_rules:
-                continue
-            ends = self.ends(data, at)
-            for r in open_rules:
-                used[r] = ends[r]
-                rule = self.rules[r]
-                if rule.least and len(self.checks[r].fullmatch(data, at, ends[r])[rule.group]) < rule.least:
-                    continue
-                found.append((at, r, ends[r]))
+        low, high, owners = self.beginnings(data)
+        for run in range(len(low) - 1, -1, -1):
+            last, open_rules = high[run], owners[run]
+            while open_rules := [r for r in open_rules if used[r] <= last]:
+                at = min(max(low[run], used[r]) for r in open_rules)
+                ends = self.ends(data, at)
+                for r in open_rules:
+                    if used[r] > at:
+                        continue
+                    used[r] = ends[r]
+                    rule = self.rules[r]
+                    if rule.least and len(self.checks[r].fullmatch(data, at, ends[r])[rule.group]) < rule.least:
+                        continue
+                    found.append((at, r, ends[r]))
         if len(data) == len(text or ""):
             return [(self.rules[r].kind, a, b) for a, r, b in sorted(found)]
         point = _code_points(data, sorted({p for a, _, b in found for p in (a, b)}))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 from salesmart.llm import secrets
 
@@ -62,3 +63,26 @@ def test_ties_and_long_texts(make_docs):
     found = secrets.find_secrets(make_docs([(1, text, None, None, None)] * 2)).collect()
     assert found[0]["secrets"] == found[1]["secrets"]
     assert [(s["kind"], s["start"], s["end"]) for s in found[0]["secrets"]] == brute(text)
+
+
+def test_memory_follows_matches_not_bytes():
+    scanner = secrets.scanner(secrets.RULES)
+    for part in ("a1b2", "AKIA", "token=abcdef01 "):
+        text = part * (100_000 // len(part))
+        tracemalloc.start()
+        spans = scanner.scan(text)
+        _, peak = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert spans == brute(text)
+        assert peak < 12 * len(text) + 400 * len(spans), part
+    low, high, owners = scanner.beginnings(b"a1b2" * 1000)
+    assert (list(low), list(high), len(owners)) == ([0], [4000 - 24], 1)
+
+
+def test_matches_that_end_within_a_run_of_beginnings():
+    pairs = secrets.Scanner((secrets.Rule("two", b"[ab]{2}"), secrets.Rule("three", b"[abc]{3}")))
+    draw = random.Random(3)
+    for _ in range(500):
+        text = "".join(draw.choices("abcd", k=draw.randint(0, 20)))
+        want = [(m.start(), i, m.end()) for i, p in enumerate(("[ab]{2}", "[abc]{3}")) for m in re.finditer(p, text)]
+        assert pairs.scan(text) == [(("two", "three")[i], a, b) for a, i, b in sorted(want)]
