@@ -6,6 +6,7 @@ from salesmart.llm import embeddings, ranked, spelling
 from salesmart.llm.decontaminate import WINDOW
 from salesmart.llm.mixing import MOST, SEED, WEIGHTS
 from salesmart.llm.queries import MISSPELT
+from salesmart.llm.warc import LEAST_BYTES
 
 _ASSIGN = r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?)([A-Za-z0-9+/_.=-]+)"""
 
@@ -164,8 +165,20 @@ def spelling_sql(every: int) -> str:
     FROM g JOIN chain USING (word) JOIN g AS last ON last.word = chain.spot AND last.form IS NULL"""
 
 
+def archives_sql() -> str:
+    """What each page's record says, from the pages themselves."""
+    return f"""
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+    s AS (SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, sha256(h) AS payload_digest, min(page_id) OVER (PARTITION BY h) AS first FROM p),
+    r AS (SELECT *, payload_bytes >= {LEAST_BYTES} AND first IS NOT NULL AND page_id IS DISTINCT FROM first AS again FROM s)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN again THEN first END AS refers_to
+    FROM r"""
+
+
 ORACLE: dict[str, str] = {
     "op1_secrets": _secrets_sql(),
+    "op2_warc": archives_sql(),
     "op7_decontaminate": contamination_sql("documents"),
     "op8_mix": f"SELECT doc_id, size, source_size, target, size * copies AS taken FROM ({mix_sql()})",
     "op11_ranked": ranked_sql(),

@@ -44,7 +44,7 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.archived(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     page_of = F.udf(warc.page_of, "long", useArrow=True)
-    return found.where("kind = 'record'").select(
+    return warc.whole_records(found).select(
         page_of("record_id").alias("page_id"),
         "payload_bytes",
         "payload_digest",

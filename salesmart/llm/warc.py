@@ -7,6 +7,7 @@ gzip readers skip.  The reader takes a file at a time, so files have a set size.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -27,6 +28,8 @@ ARCHIVE_BYTES = 16_000_000
 #: Compressed bytes given to the decompressor at once.
 _FEED = 1 << 16
 _MAGIC = b"\x1f\x8b\x08"
+# Algorithms by which a digest can be checked.
+_DIGESTS = ("md5", "sha1", "sha256", "sha512")
 _VERSION = re.compile(rb"(?:(?<=\n)|\A)WARC/1\.[01]\r\n")
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
@@ -39,7 +42,8 @@ FOUND = (
 def with_references(pages: DataFrame) -> DataFrame:
     """``pages`` with payload_digest, payload_bytes and ``first``: the smallest
     page_id of those with this payload, if there are several and it is large
-    enough, else null.
+    enough, else null.  Rows of one page_id are rows each: if it is the smallest,
+    all of them are responses, with one record id.
 
     A null html is empty.  The table of firsts is stored, so that both sides of
     the join are plain exchanges and a payload of very many pages is split.
@@ -162,19 +166,56 @@ def _record(raw: bytes, at: int) -> tuple[dict[str, str], bytes, int] | str:
     block = raw[head + 4 : end]
     if raw[end : end + 4] != b"\r\n\r\n":
         return "no end of record"
-    algorithm, _, digest = fields.get("warc-block-digest", "").partition(":")
-    if digest and algorithm == "sha256" and hashlib.sha256(block).hexdigest() != digest:
+    if _differs(block, fields.get("warc-block-digest", "")):
         return "block digest differs"
     return fields, block, end + 4
 
 
+def _differs(block: bytes, named: str) -> bool:
+    """Whether a digest, in hexadecimal digits or base32, is not the block's.  One
+    by an unknown algorithm says nothing."""
+    algorithm, _, digest = named.partition(":")
+    algorithm = algorithm.strip().lower().replace("-", "")
+    if algorithm not in _DIGESTS or not digest.strip():
+        return False
+    own = hashlib.new(algorithm, block).digest()
+    return digest.strip().rstrip("=").lower() not in (own.hex(), base64.b32encode(own).decode().rstrip("=").lower())
+
+
+def _records(raw: bytes) -> Iterator[tuple[int, int, str | None, dict[str, str], bytes]]:
+    """Records and gaps of a member's content, as ``salvage`` gives them: after a
+    failed check it goes on at the next version line whose record holds."""
+    at, gap, why = 0, -1, ""
+    while at < len(raw):
+        if gap < 0 and raw.startswith(b"\r\n", at):  # padding
+            at += 2
+            continue
+        found = _record(raw, at)
+        if isinstance(found, str):
+            if gap < 0:
+                gap, why = at, found
+            later = _next_version(raw, at + 1)
+            at = later if later >= 0 else len(raw)
+            continue
+        if gap >= 0:
+            yield gap, at, why, {}, b""
+            gap = -1
+        fields, block, end = found
+        yield at, end, None, fields, block
+        at = end
+    if gap >= 0:
+        yield gap, len(raw), why, {}, b""
+
+
 def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict[str, str], bytes]]:
     """(start, end, reason, fields, block) for all records and gaps of an archive,
     in order.  reason is null for a record; for a gap it says what failed first.
 
     After a failed check the search goes on one byte later for the next member
     that holds or, in an uncompressed archive, the next version line whose record
-    holds.
+    holds.  A member that holds may have any number of records; all have the
+    member's offsets, and the reason of a gap among them says which bytes of the
+    content it is.  A member without content is padding.
     """
     view, at, gap, why = memoryview(data), 0, -1, ""
     while at < len(data):
@@ -183,15 +224,19 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict[str, str],
             continue
         if data.startswith(_MAGIC, at):
             member = _member(view, at)
-            found = "member does not hold" if member is None else _record(member[0], 0)
-            if member is not None and not isinstance(found, str):
-                found = (*found[:2], member[1]) if found[2] == len(member[0]) else "more than one record in a member"
-            elif member is not None:
+            found = "member does not hold"
+            if member is not None:
                 # The member holds, so the next one begins behind it.
-                if gap < 0:
-                    gap, why = at, found
-                yield gap, member[1], why, {}, b""
-                at, gap = member[1], -1
+                content, end = member
+                parts = list(_records(content))
+                if any(reason is None for _, _, reason, _, _ in parts) or not parts:
+                    if gap >= 0:
+                        yield gap, at, why, {}, b""
+                    for a, b, reason, fields, block in parts:
+                        yield at, end, reason and f"{reason} (bytes {a} to {b} of the content)", fields, block
+                else:
+                    yield (at, end, parts[0][2], {}, b"") if gap < 0 else (gap, end, why, {}, b"")
+                at, gap = end, -1
                 continue
         else:
             found = _record(data, at)
@@ -222,7 +267,8 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 
     payload_digest and payload_bytes of a response are taken from the payload that
     was read; those of a revisit are what its header says.  ``payloads``: whether
-    the bytes are returned as well.
+    the bytes are returned as well.  A file is read whole by one task, so it may have
+    2 GB at most (Spark fails on a larger one).
     """
     schema = schema_of(FOUND)
 
@@ -259,6 +305,19 @@ def _batch(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
+def gap_log(found: DataFrame) -> DataFrame:
+    """The quarantined bytes of what ``read_archives`` found, to be kept as a log."""
+    gaps = found.where("kind = 'gap'")
+    return gaps.select("path", "start", "end", (F.col("end") - F.col("start")).alias("bytes"), "reason")
+
+
+def whole_records(found: DataFrame) -> DataFrame:
+    """The records of archives that must not have gaps: one is an error."""
+    place = F.concat_ws(" ", F.lit("gap in"), "path", "start", "end", "reason")
+    kind = F.when(F.col("kind") == "gap", F.raise_error(place).cast("string")).otherwise(F.col("kind"))
+    return found.where(kind == "record")
+
+
 def archived(pages: DataFrame) -> DataFrame:
     """``pages`` through archives in the shared folder: what ``read_archives`` finds,
     without payloads.  No page: no row."""

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
 
@@ -109,3 +110,45 @@ def test_small_archives_and_empty_table(spark, tmp_path):
     assert len(files) > 5
     assert warc.read_archives(spark, str(tmp_path / "small")).where("kind = 'record'").count() == 30
     assert warc.archived(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_several_records_in_a_member():
+    a, b, c, d = (plain(member(i)) for i in range(4))
+    whole, after = gzip.compress(a + b + c), member(9)
+    ids = lambda data: [warc.page_of(f["warc-record-id"]) for _, _, r, f, _ in warc.salvage(data) if r is None]
+    assert ids(whole + after) == [0, 1, 2, 9]
+    assert {(x, y) for x, y, _ in parts(whole)} == {(0, len(whole))}
+    damaged = gzip.compress(a + b.replace(b"word", b"wurd", 1) + c + b"tail\n" + d)
+    assert ids(b"junk" + damaged + after) == [0, 2, 3, 9]
+    reasons = [r for *_, r in parts(b"junk" + damaged + after) if r]
+    assert reasons == [
+        "no version line",
+        f"block digest differs (bytes {len(a)} to {len(a + b)} of the content)",
+        f"no version line (bytes {len(a + b + c)} to {len(a + b + c) + 5} of the content)",
+    ]
+    assert parts(gzip.compress(b"") + after) == [(len(gzip.compress(b"")), len(gzip.compress(b"") + after), None)]
+
+
+@pytest.mark.parametrize("form", ["sha1:{base32}", "sha1:{hex}", "SHA-1:{base32}", "unknown:{hex}"])
+def test_other_digests(form):
+    block = b"HTTP/1.1 200 OK\r\n\r\nbody"
+    sha1 = hashlib.sha1(block).digest()
+    named = form.format(base32=base64.b32encode(sha1).decode(), hex=sha1.hex())
+    raw = f"WARC/1.0\r\nWARC-Block-Digest: {named}\r\nContent-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+    assert [r for *_, r in parts(raw)] == [None]
+    want = None if form.startswith("unknown") else "block digest differs"
+    assert [r for *_, r in parts(raw.replace(b"body", b"boby"))] == [want]
+
+
+def test_gaps_are_logged_or_an_error(spark, tmp_path):
+    good, bad = member(1), bytearray(member(2))
+    bad[30] ^= 1
+    (tmp_path / "a.warc.gz").write_bytes(good + bytes(bad))
+    found = warc.read_archives(spark, str(tmp_path))
+    log = warc.gap_log(found).collect()
+    assert [(r["start"], r["bytes"], r["reason"]) for r in log] == [(len(good), len(bad), "member does not hold")]
+    with pytest.raises(Exception, match="gap in"):
+        warc.whole_records(found).collect()
+    (tmp_path / "whole").mkdir()
+    (tmp_path / "whole" / "a.warc.gz").write_bytes(good)
+    assert warc.whole_records(warc.read_archives(spark, str(tmp_path / "whole"))).count() == 1
