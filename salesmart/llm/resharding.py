@@ -1,22 +1,25 @@
 """Rows moved between shards so that new capacities are met with the fewest bytes.
 
-Rows are grouped in blocks by a hash of doc_id within their old shard; a row that
+Rows are grouped in blocks by a hash of doc_id and text within their old shard; a row that
 is large beside a shard is a block of its own.  A minimum-cost flow from the old
 shards to the new capacities says how many bytes go where; whole blocks are then
 chosen to carry it.  Sizes are summed by Spark; the driver sees blocks, of which
 there is a fixed number, and never rows.  A layout is a folder of ``shard=``
-partitions; the files of affected shards are then written anew.
+partitions; the files of affected shards are then written anew, and a file that is
+created once says when the new ones hold, so that a lost run can be finished.
 """
 
 from __future__ import annotations
 
+import json
 from collections import Counter, defaultdict, deque
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from salesmart.sources import versions
 from salesmart.sources.shared import delete, new_path
 
 #: Shards of the layout that the query starts from.
@@ -28,6 +31,9 @@ BLOCKS = 128
 ROW_BYTES = 16
 #: Bytes of the blocks of one shard that are sorted and written by one task.
 PIECE_BYTES = 128_000_000
+#: Says, in a layout, which files are to be deleted and moved.  Its name, like that
+#: of the folder of new files, hides it from readers.
+SWITCH = "_switch.json"
 
 
 def size_of(text: str = "text") -> Column:
@@ -143,8 +149,8 @@ def place(blocks: list[Block], capacities: dict[int, int]) -> dict[str, int]:
 
 
 def with_block(sized: DataFrame, total: int, shards: int, blocks: int) -> DataFrame:
-    """``sized`` (doc_id, size, old_shard, ...) and the name of each row's block."""
-    number = F.pmod(F.shiftright(F.xxhash64("doc_id"), 8), F.lit(blocks))
+    """``sized`` (doc_id, size, text_crc32, old_shard, ...) and the name of each row's block."""
+    number = F.pmod(F.shiftright(F.xxhash64("doc_id", "text_crc32"), 8), F.lit(blocks))
     alone = F.concat_ws("-", F.lit("row"), "old_shard", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "size")
     shared = F.concat_ws("-", F.lit("block"), "old_shard", number)
     return sized.withColumn("block", F.when(F.col("size") * (shards * blocks) > total, alone).otherwise(shared))
@@ -167,18 +173,20 @@ def _slotted(named: DataFrame, known: list[Block], to: dict[str, int]) -> DataFr
     """Rows with shard and slot.  Rows are shuffled once, by pieces of shards, so
     that what comes out can be written as it lies."""
     rows, size, piece, placed = Counter(), Counter(), Counter(), []
+    tasks: dict[tuple[int, int], int] = {}
     for b in sorted(known, key=lambda b: b.name):
         shard = to[b.name]
         if size[shard] and size[shard] + b.size > PIECE_BYTES:
             size[shard], piece[shard] = 0, piece[shard] + 1
-        placed.append((b.name, shard, piece[shard], rows[shard]))
+        task = tasks.setdefault((shard, piece[shard]), len(tasks))
+        placed.append((b.name, shard, task, rows[shard]))
         rows[shard] += b.rows
         size[shard] += b.size
     # At most 2 * shards * blocks rows, as for ``known``.
     where = F.broadcast(named.sparkSession.createDataFrame(placed, "block string, shard int, piece int, before long"))
-    pieces = max(1, len({p[1:3] for p in placed}))
-    dealt = named.join(where, "block").repartition(pieces, "shard", "piece")
-    nth = F.expr("row_number() OVER (PARTITION BY shard, piece, block ORDER BY doc_id, text_crc32, size) - 1")
+    # Each piece is a task of its own.
+    dealt = named.join(where, "block").repartitionById(max(1, len(tasks)), "piece")
+    nth = F.expr("row_number() OVER (PARTITION BY piece, block ORDER BY doc_id, text_crc32, size) - 1")
     return dealt.withColumn("slot", (F.col("before") + nth).cast("long")).drop("block", "piece", "before")
 
 
@@ -187,8 +195,8 @@ def reshard(docs: DataFrame, shards: int = SHARDS, old_shard: Column | None = No
     its shard, by block and doc_id).  Capacities are equal shares of all bytes.
 
     A null text has no bytes and the checksum of none.  Repeated rows and rows
-    without a doc_id are rows like any other; rows that agree in doc_id share a
-    block.  Columns of these names are replaced.
+    without a doc_id are rows like any other; rows that agree in doc_id and text
+    share a block.  Columns of these names are replaced.
     """
     named, known, total = _blocks(_sized(docs, hashed_shard() if old_shard is None else old_shard), shards, blocks)
     return _slotted(named, known, place(known, dict.fromkeys(range(shards), -(-total // shards))))
@@ -216,21 +224,44 @@ def _write(rows: DataFrame, path: str) -> None:
 
 def rewrite(resharded: DataFrame, path: str) -> list[int]:
     """The files of affected shards written anew below ``path``, a folder of
-    ``shard=`` partitions, and the files of those that have given all rows deleted;
-    files of other shards stay as they are.  Each file is sorted by slot.
+    ``shard=`` partitions; those of other shards stay as they are.  Each file is
+    sorted by slot.
 
-    ``resharded`` may read ``path``, as files are replaced when all are written, but
-    must not be used afterwards.
+    New files are complete before ``SWITCH`` names them and the old ones.  A run lost
+    before that leaves the old layout, one lost after it is finished by ``recover``,
+    which ``read_layout`` calls.  One rewrite of a layout at a time: a second one is
+    refused.  ``resharded`` may read ``path``, but must not be used afterwards.
     """
-    moves = _moves(resharded)
+    spark, moves = resharded.sparkSession, _moves(resharded)
     shards = _affected(moves)
-    if shards:
-        _write(resharded.where(F.col("shard").isin(shards)), path)
-    for shard in set(shards) - {new for _, new in moves}:
-        delete(resharded.sparkSession, f"{path}/shard={shard}")
+    if not shards:
+        return shards
+    folder = versions.new_folder("_anew-")
+    _write(resharded.where(F.col("shard").isin(shards)), f"{path}/{folder}")
+    drained = [f"shard={shard}" for shard in sorted(set(shards) - {new for _, new in moves})]
+    given = tuple(f"shard={shard}/" for shard in shards)
+    old = [f for f in versions.files_below(spark, path) if f.startswith(given)]
+    new = [f for f in versions.files_below(spark, f"{path}/{folder}") if f.startswith(given)]
+    if not versions.publish_file(spark, f"{path}/{SWITCH}", json.dumps({"folder": folder, "old": old + drained, "new": new})):
+        raise versions.Conflict(f"another rewrite of {path} is not finished")
+    recover(spark, path)
     return shards
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish a rewrite of the layout at ``path`` that was lost after its new files
+    were complete.  Each step may be done already."""
+    if not versions.exists(spark, f"{path}/{SWITCH}"):
+        return
+    todo = json.loads(versions.read_file(spark, f"{path}/{SWITCH}"))
+    for name in todo["old"]:
+        delete(spark, f"{path}/{name}")
+    for name in todo["new"]:
+        versions.move_file(spark, f"{path}/{todo['folder']}/{name}", f"{path}/{name}")
+    delete(spark, f"{path}/{todo['folder']}")
+    delete(spark, f"{path}/{SWITCH}")
+
+
 def write_layout(docs: DataFrame, path: str, old_shard: Column | None = None) -> None:
     """``docs`` with size, text_crc32 and slot as a new layout by ``old_shard``."""
     named, known, _ = _blocks(_sized(docs, hashed_shard() if old_shard is None else old_shard), SHARDS, BLOCKS)
@@ -239,6 +270,7 @@ def write_layout(docs: DataFrame, path: str, old_shard: Column | None = None) ->
 
 def read_layout(docs: DataFrame, path: str) -> DataFrame:
     """The rows of a layout of ``docs``, with size and text_crc32 of the texts that are in its files."""
+    recover(docs.sparkSession, path)
     own = [f for f in docs.schema if f.name not in ("old_shard", "shard", "slot", "block", "piece", "before", "size", "text_crc32")]
     schema = StructType([*own, StructField("slot", LongType()), StructField("shard", IntegerType())])
     return docs.sparkSession.read.schema(schema).parquet(path).withColumns({"size": size_of(), "text_crc32": crc_of()})

@@ -122,3 +122,58 @@ def test_awkward_rows(awkward, clashing, no_docs):
     assert again.columns.count("size") == again.columns.count("shard") == 1
     assert again.count() == len(rows)
     assert rs.reshard(no_docs).collect() == []
+
+
+def test_ids_that_repeat_or_are_missing(make_docs):
+    draw = random.Random(5)
+    text = lambda i: f"{i} " + "x" * draw.randrange(100)
+    for shared in (None, 7):
+        docs = make_docs([(shared if i % 3 == 0 else i, text(i), None, None, None) for i in range(6000)])
+        sizes = check(rs.reshard(docs).collect(), 40)
+        assert max(sizes.values()) - min(sizes.values()) <= 120
+
+
+def test_each_piece_is_a_task_and_shuffled_once(make_docs, monkeypatch):
+    monkeypatch.setattr(rs, "PIECE_BYTES", 5_000)
+    found = rs.reshard(make_docs([(i, "x" * 50, None, None, None) for i in range(2000)]), shards=5)
+    held = found.withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.sum("size").alias("n"), F.count_distinct("shard").alias("k")).collect()
+    assert len(held) > 20 and all(r["n"] <= 5_000 and r["k"] == 1 for r in held)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange ShufflePartitionIdPassThrough") <= 1
+    assert found._jdf.queryExecution().executedPlan().toString().count("hashpartitioning") == 0
+
+
+@pytest.mark.parametrize("lost", ["before the switch", "after the switch", "deleting", "moving"])
+def test_lost_rewrite(make_docs, tmp_path, spark, monkeypatch, lost):
+    docs = make_docs([(i, "z" * 84, None, None, None) for i in range(90)])
+    path = str(tmp_path / "shards")
+    rs.write_layout(docs, path, F.pmod("doc_id", F.lit(5)).cast("int"))
+    resharded = rs.reshard(rs.read_layout(docs, path), 3, F.col("shard"))
+
+    class Lost(Exception):
+        pass
+
+    def fails(after, call):
+        left = [after]
+
+        def step(*args):
+            if not left[0]:
+                raise Lost
+            left[0] -= 1
+            return call(*args)
+
+        return step
+
+    with monkeypatch.context() as patched:
+        if lost == "before the switch":
+            patched.setattr(rs.versions, "publish_file", fails(0, rs.versions.publish_file))
+        elif lost == "moving":
+            patched.setattr(rs.versions, "move_file", fails(1, rs.versions.move_file))
+        else:
+            patched.setattr(rs, "delete", fails(0 if lost == "after the switch" else 2, rs.delete))
+        with pytest.raises(Lost):
+            rs.rewrite(resharded, path)
+    rows = rs.read_layout(docs, path).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(90))
+    assert sorted(check(rows, 5)) == ([0, 1, 2, 3, 4] if lost == "before the switch" else [0, 1, 2])
+    rs.rewrite(rs.reshard(rs.read_layout(docs, path), 2, F.col("shard")), path)
+    assert set(check(rs.read_layout(docs, path).collect(), 2)) == {0, 1}
