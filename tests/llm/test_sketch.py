@@ -88,3 +88,31 @@ def test_awkward_rows(awkward, clashing, no_docs, make_docs):
     assert sketch.fingerprint_with_next(clashing, 4).count() == awkward.count()
     assert sketch.fingerprint_with_next(no_docs, 4).collect() == []
     check(make_docs([(5, "only one " * 9, None, None, None)]), 3)
+
+
+@pytest.mark.parametrize("shared", [None, 50])
+def test_hot_ids_are_parted(make_docs, shared):
+    draw = random.Random(9)
+    docs = make_docs([(shared if i % 3 == 0 else i, text(draw, 8), None, None, None) for i in range(1500)])
+    dealt, n = sketch.in_ranges(docs, 16, hot_rows=100)
+    rows = dealt.collect()
+    held = [sum(r["range"] == k and not r["tail"] for r in rows) for k in range(n)]
+    assert sum(held) == 1500 and max(held) <= 2 * 1500 / 16
+    assert sum(r["tail"] for r in rows) == sum(h > 0 for h in held)
+
+    # Rows follow each other by id, then by hash within the parted one; in one range alike.
+    found = [sketch.fingerprint_with_next(docs, k, hot_rows=100) for k in (16, 64)]
+    assert sorted(map(tuple, found[0].collect()), key=repr) == sorted(map(tuple, found[1].collect()), key=repr)
+    codes = docs.select("doc_id", "text", sketch.F.xxhash64("text").alias("h")).collect()
+    order = sorted(codes, key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["h"]))
+    texts = [r["text"] for r in order]
+    want = [hashlib.sha256(sketch.edited(t, u).encode()).hexdigest() for t, u in zip(texts, texts[1:] + texts[:1], strict=True)]
+    assert sorted(r["edited_sha256"] for r in found[0].collect()) == sorted(want)
+
+
+def test_places_among_many_bounds(spark):
+    bounds = [(0, 0, 5), *((1, i * i, (1 << 63) - 1) for i in range(300))]
+    keys = [(0, 0, 5), (0, 0, 6), (1, 0, 0), (1, 10, 0), (1, 299 * 299, 7), (1, 10**9, 0)]
+    table = spark.createDataFrame([(k,) for k in keys], "key struct<known:int,id:long,code:long>")
+    got = [r[0] for r in table.select(sketch._before(bounds, "key")).collect()]
+    assert got == [sum(b < k for b in bounds) for k in keys]
