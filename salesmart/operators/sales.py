@@ -46,6 +46,10 @@ def category_performance(sales: DataFrame) -> DataFrame:
         total("net_amount").alias("total_revenue"),
         mean_money("unit_price").alias("avg_price"),
     )
+    return rank_items(items)
+
+
+def rank_items(items: DataFrame) -> DataFrame:
     return rank_descending(items, group="venue_type", measure="total_revenue", rank="revenue_rank_in_venue_type")
 
 
@@ -55,33 +59,34 @@ def top_items_ranked(sales: DataFrame, *, ranks: int = 10) -> DataFrame:
     Spark limits the rank before the shuffle too, so a window task receives
     each map task's leading items only.
     """
-    best_first = Window.partitionBy("venue_type").orderBy(F.desc("total_revenue"))
-    return (
-        sales.groupBy(*ITEM)
-        .agg(
-            F.count("*").alias("times_ordered"),
-            F.sum("quantity").alias("total_quantity_sold"),
-            total("net_amount").alias("total_revenue"),
-            mean_money("unit_price").alias("avg_unit_price"),
-        )
-        .withColumn("revenue_rank", F.rank().over(best_first))
-        .filter(F.col("revenue_rank") <= ranks)
+    items = sales.groupBy(*ITEM).agg(
+        F.count("*").alias("times_ordered"),
+        F.sum("quantity").alias("total_quantity_sold"),
+        total("net_amount").alias("total_revenue"),
+        mean_money("unit_price").alias("avg_unit_price"),
     )
+    return leading_items(items, ranks)
+
+
+def leading_items(items: DataFrame, ranks: int) -> DataFrame:
+    best_first = Window.partitionBy("venue_type").orderBy(F.desc("total_revenue"))
+    return items.withColumn("revenue_rank", F.rank().over(best_first)).filter(F.col("revenue_rank") <= ranks)
 
 
 def payment_split(sales: DataFrame) -> DataFrame:
     """Payment methods per venue type with their share of its transactions."""
-    whole_type = Window.partitionBy("venue_type")
-    return (
-        sales.groupBy("payment_method", "venue_type")
-        .agg(F.count("*").alias("transaction_count"), total("net_amount").alias("total_revenue"))
-        .withColumn(
-            "pct_of_venue_transactions",
-            percent_of(F.col("transaction_count"), F.sum("transaction_count").over(whole_type)),
+    return with_share(
+        sales.groupBy("payment_method", "venue_type").agg(
+            F.count("*").alias("transaction_count"), total("net_amount").alias("total_revenue")
         )
     )
 
 
+def with_share(methods: DataFrame) -> DataFrame:
+    whole_type = F.sum("transaction_count").over(Window.partitionBy("venue_type"))
+    return methods.withColumn("pct_of_venue_transactions", percent_of(F.col("transaction_count"), whole_type))
+
+
 def venue_summary(
     sales: DataFrame,
     *,
@@ -157,12 +162,14 @@ def monthly_trend_all_years(sales: DataFrame) -> DataFrame:
 
     Growth is 0 here if the month before made nothing.
     """
+    return with_growth(_monthly(sales))
+
+
+def with_growth(months: DataFrame) -> DataFrame:
     previous = F.col("prev_month_revenue")
     zero = F.when((previous == 0) & F.col("net_revenue").isNotNull(), F.lit(0))
     growth = F.when(previous != 0, _growth(previous)).otherwise(zero)
-    return _monthly(sales).withColumn("mom_growth_pct", growth).orderBy(
-        "venue_type", "month_num", "month"
-    )
+    return months.withColumn("mom_growth_pct", growth).orderBy("venue_type", "month_num", "month")
 
 
 def _growth(previous: Column) -> Column:
@@ -171,20 +178,22 @@ def _growth(previous: Column) -> Column:
 
 
 def _monthly(sales: DataFrame) -> DataFrame:
-    # After the aggregate a venue type has one row per month of the year.
-    by_month = Window.partitionBy("venue_type").orderBy("month_num", "month")
-    return (
-        sales.groupBy("month_num", "month", "venue_type")
-        .agg(
+    return with_previous(
+        sales.groupBy("month_num", "month", "venue_type").agg(
             F.count("*").alias("transactions"),
             total("net_amount").alias("net_revenue"),
             total("discount_amount").alias("discounts_given"),
             mean_money("net_amount").alias("avg_basket"),
         )
-        .withColumn("prev_month_revenue", F.lag("net_revenue").over(by_month))
     )
 
 
+def with_previous(months: DataFrame) -> DataFrame:
+    # After the aggregate a venue type has one row per month of the year.
+    by_month = Window.partitionBy("venue_type").orderBy("month_num", "month")
+    return months.withColumn("prev_month_revenue", F.lag("net_revenue").over(by_month))
+
+
 def value_counts(sales: DataFrame, column: str) -> DataFrame:
     """Rows per value, most frequent first."""
     return sales.groupBy(column).agg(F.count("*").alias("transactions")).orderBy(F.desc("transactions"), column)
