@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.operators import dashboard, guests, increments, marts, quality, sales, sequences
+from salesmart.operators import dashboard, guests, increments, marts, quality, reports, sales, sequences
 from salesmart.operators.derive import with_amounts, with_calendar, with_weekend_uplift
 from salesmart.operators.staging import stg_transactions
 from salesmart.plans import refresh, visit_store
@@ -133,6 +133,11 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "monthly_trend": lambda s: sales.monthly_trend(s, year=1998),
     "monthly_trend_default": lambda s: sales.monthly_trend(s, as_of=date(2000, 6, 30)),
     "monthly_trend_all_years": sales.monthly_trend_all_years,
+    "one_scan_daily_revenue": lambda s: reports.all_reports(s)["daily_revenue"],
+    "one_scan_category_performance": lambda s: reports.all_reports(s)["category_performance"],
+    "one_scan_top_items": lambda s: reports.all_reports(s)["top_items"],
+    "one_scan_payment_split": lambda s: reports.all_reports(s)["payment_split"],
+    "one_scan_monthly_trend": lambda s: reports.all_reports(s)["monthly_trend"],
     "fct_venue_performance": _venues,
     "visit_history": _visits,
     "visit_history_by_customer": lambda s: guests.visit_history_by_customer(s, store_input=True),
