@@ -40,40 +40,28 @@ PRICED = {
 }
 
 
-def _spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Share a small input among all cores.
-
-    A file of one row group is read by one task.  Inputs with enough splits to
-    keep the cores busy are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 > cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def sales_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 24 columns of the fact, one row per order line.
 
-    No side is broadcast by hand: parts and suppliers grow with the data, so
-    the planner broadcasts a side only while its size is under the session's
-    limit and otherwise shuffles, splitting skewed keys at run time.
+    Lines are shuffled while they are numbers: to their orders, then to their
+    parts, and names are added in place after that.  Orders and parts grow with
+    the lines, so these two joins are shuffled at any size and what they move
+    grows with the rows; skewed keys are split at run time.  The planner
+    broadcasts suppliers, and their nations and regions, one by one: of a join
+    among them it would not know that it is small.
     """
 
     def table(name: str) -> DataFrame:
         return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
-    venues = (
-        table("supplier")
+    lines = (
+        table("lineitem")
+        .join(table("orders").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table("part").hint("merge"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    lines = (
-        _spread(table("lineitem"), "l_orderkey", "l_linenumber")
-        .join(venues, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    )
     priced = lines.select(
         *[F.expr(sql).alias(name) for name, sql in PRICED.items()],
         padded_id("CUST", 5, F.col("o_custkey")).alias("customer_id"),
