@@ -64,7 +64,7 @@ def _through_csv(rows: DataFrame) -> DataFrame:
     """The load columns written as CSV in the shared folder and read again."""
     spark = rows.sparkSession
     path = f"{shared_dir(spark)}/sales-csv-{uuid4().hex}"
-    csv_sales.write_sales_csv(rows.select(*LOAD_COLUMNS), path)
+    csv_sales.write_sales_csv(rows.select(*LOAD_COLUMNS), path, compression="gzip")
     return csv_sales.read_sales_csv(spark, path)
 
 

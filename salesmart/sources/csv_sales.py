@@ -24,6 +24,8 @@ FILE = "source_file"
 BROADCAST_FILES = 100_000
 # Different headers in one load; more point to files that are no sales.
 LAYOUTS = 1000
+# About 200 MB of text.
+ROWS_PER_FILE = 1_000_000
 # Texts of a flag.
 FLAGS = {"true": True, "1": True, "false": False, "0": False}
 
@@ -114,8 +116,13 @@ def read_sales_csv(spark: SparkSession, path: str | list[str], *, multiline: boo
     return rows.filter(F.when(F.col(CORRUPT).isNotNull(), error).otherwise(parsed)).select(*LOAD_COLUMNS)
 
 
-def write_sales_csv(sales: DataFrame, path: str) -> None:
-    sales.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+def write_sales_csv(sales: DataFrame, path: str, *, compression: str | None = None) -> None:
+    """Files with a header each.  Compressed ones are read by one task each, so they
+    are kept to ``ROWS_PER_FILE``."""
+    writer = sales.write.option("header", True).option("quote", '"').option("escape", '"')
+    if compression is not None:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", ROWS_PER_FILE)
+    writer.csv(path)
 
 
 def read_good_files(spark: SparkSession, path: str | list[str], *, multiline: bool = False) -> CheckedFiles:
