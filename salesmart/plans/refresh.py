@@ -38,9 +38,14 @@ def touched_days(raw: DataFrame, since: datetime) -> list[date]:
     return sorted(r[0] for r in rows.select(_DAY).distinct().collect())
 
 
-def _replace_parts(result: DataFrame, folder: str, parts: list[str]) -> None:
+#: Tasks that a part of the venue mart is computed and written by, at most.
+PIECES = 16
+
+
+def _replace_parts(result: DataFrame, folder: str, parts: list[str], *, rebalance: bool = True) -> None:
     """Write ``result`` by parts; a part that is written takes the place of the old one."""
-    writer = result.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    result = result.hint("rebalance", *parts) if rebalance else result
+    writer = result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*parts).parquet(folder)
 
 
@@ -70,8 +75,9 @@ def refresh_venue_performance(raw: DataFrame, folder: str, days: Iterable[date])
     rows = raw.filter((month * 7 + weekday).isin(*[m * 7 + w for m, w in parts]))
     first = F.min(F.struct(*[c.alias(n) for c, n in zip(_venue_parts(F.col(_DAY)), (MONTH, WEEKDAY), strict=True)]))
     numbers = rows.groupBy("month", "day_of_week").agg(first.alias("__part")).select("month", "day_of_week", "__part.*")
-    mart = fct_venue_performance(stg_transactions(rows)).join(numbers, ["month", "day_of_week"])
-    _replace_parts(mart, folder, [MONTH, WEEKDAY])
+    # A row for each of the parts at most.
+    mart = fct_venue_performance(stg_transactions(rows), pieces=PIECES).join(F.broadcast(numbers), ["month", "day_of_week"])
+    _replace_parts(mart, folder, [MONTH, WEEKDAY], rebalance=False)
 
 
 def read_venue_performance(spark: SparkSession, folder: str) -> DataFrame:
