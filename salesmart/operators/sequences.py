@@ -53,6 +53,11 @@ def name_of(key: str) -> Column:
     return F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit(""))
 
 
+def key_of(name: Column) -> Column:
+    """The key, a text, that ``name_of`` gave this name."""
+    return F.when(name != "", F.substring(name, 2, 2**31 - 1))
+
+
 def place() -> Column:
     """What sorts a visit within its key; structs compare as the window does, NULL first."""
     return F.struct(*ORDER)
@@ -72,9 +77,9 @@ def late_keys(batch: DataFrame, state: DataFrame, key: str) -> DataFrame:
 
 def moved_visits(known: DataFrame, late: DataFrame, key: str) -> DataFrame:
     """Known visits that follow a late one."""
-    rows = known.withColumn("__name", name_of(key)).withColumn("__place", place())
     late = late.select(F.col("name").alias("__late"), "since")
-    return rows.join(late, F.col("__name") == F.col("__late")).where(F.col("__place") > F.col("since")).select(*known.columns)
+    # Name and place are worked out in the join, so that no shuffle carries them.
+    return known.join(late, (name_of(key) == F.col("__late")) & (place() > F.col("since"))).select(*known.columns)
 
 
 def continued(
@@ -97,11 +102,20 @@ def continued(
             F.when(F.col("__behind").isNull(), F.col("__last")).otherwise(F.col("__first")).alias("__last"),
         )
         batch = batch.unionByName(moved.select(*columns))
+    # Numbered by the name, which the state is joined by: rows are shuffled once for both.
     numbered = visit_numbers(
-        batch, key=key, ts=TS, ties=ORDER[1:], number=NUMBER, previous=how.previous, few_keys=how.few_keys, rows_per_task=rows_per_task
+        batch.select(*ORDER, name_of(key).alias("__key")),
+        key="__key",
+        ts=TS,
+        ties=ORDER[1:],
+        number=NUMBER,
+        previous=how.previous,
+        few_keys=how.few_keys,
+        rows_per_task=rows_per_task,
     )
     first = F.col(NUMBER) == 1
-    return numbered.join(before, name_of(key) == F.col("__name"), "left").select(
+    named = numbered.join(before, F.col("__key") == F.col("__name"), "left").withColumn(key, key_of(F.col("__key")))
+    return named.select(
         *columns,
         (F.col(NUMBER) + F.coalesce("__n", F.lit(0))).alias(NUMBER),
         F.when(first, F.col("__last")).otherwise(F.col(how.previous)).alias(how.previous),
@@ -126,11 +140,7 @@ def newest_state(states: DataFrame) -> DataFrame:
 def live(visits: DataFrame, moves: DataFrame, key: str) -> DataFrame:
     """Numbered ``visits`` (with the ``version`` that wrote them) without those that a
     later version numbered again.  ``moves``: (name, since, version)."""
-    again = [
-        F.col("__name") == F.col("__late"),
-        F.col("version") < F.col("__moved"),
-        F.col("__place") > F.col("since"),
-    ]
+    # Name and place are worked out in the join, so that no shuffle carries them.
+    again = [name_of(key) == F.col("__late"), F.col("version") < F.col("__moved"), place() > F.col("since")]
     moves = moves.select(F.col("name").alias("__late"), "since", F.col("version").alias("__moved"))
-    rows = visits.withColumn("__name", name_of(key)).withColumn("__place", place())
-    return rows.join(moves, reduce(Column.__and__, again), "left_anti").drop("__name", "__place")
+    return visits.join(moves, reduce(Column.__and__, again), "left_anti")

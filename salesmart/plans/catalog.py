@@ -80,7 +80,7 @@ def _loads(rows: DataFrame) -> list[DataFrame]:
 def _carried(rows: DataFrame, how: sequences.Sequence) -> DataFrame:
     """A visit history extended load by load."""
     base = new_path(rows.sparkSession, "visit-store")
-    rows = store(rows.select(*sequences.ORDER, "transaction_date", "customer_id", "payment_method", "city"), "visits")
+    # Each load stores its own rows once; the choice of years reaches the scan.
     for load in _loads(rows):
         visit_store.extend(load, base, how)
     return visit_store.history(rows.sparkSession, base, how)

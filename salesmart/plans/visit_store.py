@@ -79,11 +79,11 @@ def extend(sales: DataFrame, base: str, how: Sequence, *, load: str | None = Non
         numbered = sequences.continued(batch, state, moved, how, rows_per_task)
         name = new_folder("load=")
         (
-            numbered.withColumn("version", F.lit(number + 1))
-            .withColumn("name", sequences.name_of(how.key_name))
-            .withColumn("part", _part(F.col("name")))
+            numbered.withColumn("part", _part(sequences.name_of(how.key_name)))
             .withColumn("month", month_start(F.col(TS)))
             .hint("rebalance", "part", "month")
+            .withColumn("version", F.lit(number + 1))
+            .withColumn("name", sequences.name_of(how.key_name))
             .sortWithinPartitions("part", "month", "name", NUMBER)
             .write.partitionBy("part", "month")
             .parquet(f"{base}/{name}")
