@@ -100,7 +100,6 @@ def _refreshed_retention(rows: DataFrame) -> DataFrame:
     """The retention mart after a refresh with each load."""
     spark, how = rows.sparkSession, sequences.CUSTOMERS
     base, folder = new_path(spark, "visit-store"), new_path(spark, "retention-parts")
-    rows = store(rows.select(*sequences.ORDER, "transaction_date", "customer_id"), "visits")
     for load in _loads(rows):
         refresh.refresh_retention(spark, base, folder, how, [visit_store.extend(load, base, how)])
     return refresh.read_retention(spark, folder)
