@@ -82,6 +82,13 @@ def moved_visits(known: DataFrame, late: DataFrame, key: str) -> DataFrame:
     return known.join(late, (name_of(key) == F.col("__late")) & (place() > F.col("since"))).select(*known.columns)
 
 
+def marked_visits(known: DataFrame, late: DataFrame, key: str) -> DataFrame:
+    """Known visits with ``moved``: whether they follow a late one of their key."""
+    late = late.select(F.col("name").alias("__late"), "since")
+    rows = known.join(late, name_of(key) == F.col("__late"), "left")
+    return rows.select(*known.columns, F.coalesce(place() > F.col("since"), F.lit(False)).alias("moved"))
+
+
 def continued(
     batch: DataFrame, state: DataFrame, moved: DataFrame | None, how: Sequence, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from uuid import uuid4
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
@@ -33,13 +34,16 @@ def scratch(spark: SparkSession) -> Iterator[str]:
     """What is stored inside lasts until the end of the block.
 
     It goes to one folder, which is deleted at the end, also after an error.
-    DataFrames that read it must have been used by then.
+    DataFrames that read it must have been used by then.  What a query inside
+    shuffles is deleted when that query ends, not when the driver collects garbage.
     """
     folder = f"{shared_dir(spark)}/scratch-{uuid4().hex}"
-    token = _scratch.set(folder)
+    token, before = _scratch.set(folder), spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
     try:
         yield folder
     finally:
+        spark.conf.unset(DROP_SHUFFLES) if before is None else spark.conf.set(DROP_SHUFFLES, before)
         _scratch.reset(token)
         delete(spark, folder)
 
@@ -55,8 +59,8 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch.get() or shared_dir(spark)}/{name}-{uuid4().hex}"
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and read it back.
+def store(df: DataFrame, name: str, *, by: Iterable[str] = (), compression: str | None = None) -> DataFrame:
+    """Write ``df`` once, in folders ``by`` these columns, and read it back.
 
     What depends on it is not computed again when executors are lost, later
     readers scan only the columns they need, and its size is known to the
@@ -65,12 +69,12 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=list(by), compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def store_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+def store_counted(df: DataFrame, name: str, **how) -> tuple[DataFrame, int]:
     """``store``, and the number of rows, counted while they are written."""
     counted = Observation()
-    stored = store(df.observe(counted, F.count(F.lit(1)).alias("rows")), name)
+    stored = store(df.observe(counted, F.count(F.lit(1)).alias("rows")), name, **how)
     return stored, counted.get["rows"]
