@@ -11,6 +11,10 @@ from salesmart.schema import VENUE
 
 ITEM_SOLD = [*VENUE, "category", "item_name"]
 WHEN = ["day_of_week", "month"]
+#: All that the mart is made from.
+MART_COLUMNS = [
+    *ITEM_SOLD, *WHEN, "transaction_id", "quantity", "unit_price", "gross_amount", "discount_amount", "net_amount", "loaded_at",
+]
 
 
 def fct_venue_performance(staged: DataFrame, *, pieces: int | None = None) -> DataFrame:

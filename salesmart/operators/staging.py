@@ -13,13 +13,13 @@ WHOLE_NUMBERS = ["quantity", "discount_pct"]
 AMOUNTS = ["unit_price", "gross_amount", "discount_amount", "net_amount"]
 
 
-def stg_transactions(transactions: DataFrame) -> DataFrame:
-    """Staged columns with their declared types.
+def stg_transactions(transactions: DataFrame, columns: list[str] = STAGED_COLUMNS) -> DataFrame:
+    """Staged columns, or some of them, with their declared types.
 
     Under ANSI mode, Spark's default, a value that does not fit its type is an
     error instead of NULL.
     """
     types = dict.fromkeys(WHOLE_NUMBERS, "int") | dict.fromkeys(AMOUNTS, MONEY)
     return transactions.select(
-        *[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in STAGED_COLUMNS]
+        *[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in columns]
     )

@@ -17,7 +17,7 @@ from salesmart.plans import refresh, visit_store
 from salesmart.schema import LOAD_COLUMNS
 from salesmart.sources import csv_sales
 from salesmart.sources.harness import sales_from_orders
-from salesmart.sources.shared import new_path, shared_dir, store
+from salesmart.sources.shared import new_path, scratch, shared_dir, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,10 +89,12 @@ def _carried(rows: DataFrame, how: sequences.Sequence) -> DataFrame:
 def _refreshed_venues(rows: DataFrame) -> DataFrame:
     """The venue mart after a refresh with each load."""
     spark, folder = rows.sparkSession, new_path(rows.sparkSession, "venue-parts")
-    rows = store(rows, "sales")
-    for k, load in enumerate(_loads(rows)):
-        seen = rows.filter(F.year("transaction_date").isin(*[y for a, b in LOADS[: k + 1] for y in range(a, b + 1)]))
-        refresh.refresh_venue_performance(seen, folder, [r[0] for r in load.select("transaction_date").distinct().collect()])
+    with scratch(spark):
+        # What a refresh reads, and only as long as there are loads.
+        rows = store(rows.select(*marts.MART_COLUMNS, "transaction_date"), "sales", compression="zstd")
+        for k, load in enumerate(_loads(rows)):
+            seen = rows.filter(F.year("transaction_date").isin(*[y for a, b in LOADS[: k + 1] for y in range(a, b + 1)]))
+            refresh.refresh_venue_performance(seen, folder, [r[0] for r in load.select("transaction_date").distinct().collect()])
     return refresh.read_venue_performance(spark, folder)
 
 

@@ -17,12 +17,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.operators.guests import fct_retention
-from salesmart.operators.marts import fct_venue_performance
+from salesmart.operators.marts import MART_COLUMNS, fct_venue_performance
 from salesmart.operators.sales import daily_revenue_weekend_split
 from salesmart.operators.sequences import Sequence
-from salesmart.operators.staging import stg_transactions
+from salesmart.operators.staging import STAGED_COLUMNS, stg_transactions
 from salesmart.plans import visit_store
 from salesmart.schema import LOAD_DAY
+from salesmart.sources.shared import scratch
 
 #: Parts of the venue mart: it has a row for each name of a month and of a weekday, and
 #: these follow from the date (``derive.with_calendar``).
@@ -40,6 +41,20 @@ def touched_days(raw: DataFrame, since: datetime) -> list[date]:
 
 #: Tasks that a part of the venue mart is computed and written by, at most.
 PIECES = 16
+#: Rows aggregated at a time, as far as the parts allow: what they shuffle is on disk.
+ROWS_PER_SLICE = 20_000_000
+
+
+def _slices(sizes: dict) -> list[list]:
+    """The parts, given with their rows, in groups of ``ROWS_PER_SLICE`` rows at most, or one by one."""
+    slices, room = [], 0
+    for part, rows in sizes.items():
+        if not slices or rows > room:
+            slices.append([])
+            room = ROWS_PER_SLICE
+        slices[-1].append(part)
+        room -= rows
+    return slices
 
 
 def _replace_parts(result: DataFrame, folder: str, parts: list[str], *, rebalance: bool = True) -> None:
@@ -67,17 +82,24 @@ def refresh_venue_performance(raw: DataFrame, folder: str, days: Iterable[date])
     """The venue mart's rows of the months and weekdays that ``days`` fall in.
 
     Their ids are counted over all days of these parts, so an id that occurs on
-    several of them counts once.  84 parts cover any calendar.
+    several of them counts once.  84 parts cover any calendar.  ``raw`` needs the mart's
+    columns and the day of sale, and is read once for each slice of the parts.
     """
     month, weekday = _venue_parts(F.col(_DAY))
     # A part for each of the days at most; on the column of the day this picks folders.
     parts = sorted({(d.month, d.weekday()) for d in days})
-    rows = raw.filter((month * 7 + weekday).isin(*[m * 7 + w for m, w in parts]))
-    first = F.min(F.struct(*[c.alias(n) for c, n in zip(_venue_parts(F.col(_DAY)), (MONTH, WEEKDAY), strict=True)]))
-    numbers = rows.groupBy("month", "day_of_week").agg(first.alias("__part")).select("month", "day_of_week", "__part.*")
-    # A row for each of the parts at most.
-    mart = fct_venue_performance(stg_transactions(rows), pieces=PIECES).join(F.broadcast(numbers), ["month", "day_of_week"])
-    _replace_parts(mart, folder, [MONTH, WEEKDAY], rebalance=False)
+    numbered = raw.withColumn("__number", month * 7 + weekday)
+    numbered = numbered.filter(F.col("__number").isin(*[m * 7 + w for m, w in parts]))
+    with scratch(raw.sparkSession):
+        sizes = dict(sorted(tuple(r) for r in numbered.groupBy("__number").count().collect()))
+        for some in _slices(sizes):
+            rows = raw.filter((month * 7 + weekday).isin(*some))
+            first = F.min(F.struct(*[c.alias(n) for c, n in zip(_venue_parts(F.col(_DAY)), (MONTH, WEEKDAY), strict=True)]))
+            numbers = rows.groupBy("month", "day_of_week").agg(first.alias("__part")).select("month", "day_of_week", "__part.*")
+            # A row for each of the parts at most.
+            staged = stg_transactions(rows, [c for c in STAGED_COLUMNS if c in MART_COLUMNS])
+            mart = fct_venue_performance(staged, pieces=PIECES).join(F.broadcast(numbers), ["month", "day_of_week"])
+            _replace_parts(mart, folder, [MONTH, WEEKDAY], rebalance=False)
 
 
 def read_venue_performance(spark: SparkSession, folder: str) -> DataFrame:

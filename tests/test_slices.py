@@ -5,8 +5,10 @@ from datetime import datetime, timedelta
 import pytest
 
 from salesmart.operators.guests import visit_history_by_customer
+from salesmart.operators.marts import MART_COLUMNS, fct_venue_performance
 from salesmart.operators.sequences import CUSTOMERS
-from salesmart.plans import visit_store
+from salesmart.operators.staging import stg_transactions
+from salesmart.plans import catalog, refresh, visit_store
 from salesmart.sources import shared, versions
 
 
@@ -56,6 +58,31 @@ def test_parts_of_a_load():
         assert len(slices) == min(n, visit_store.PARTS) and sorted(sum(slices, [])) == list(range(visit_store.PARTS))
 
 
+def test_venues_in_slices_of_parts(spark, tmp_path, loads, monkeypatch):
+    written, real = [], refresh._replace_parts
+    monkeypatch.setattr(refresh, "_replace_parts", lambda *a, **k: written.append(a) or real(*a, **k))
+    raw = loads[0].select(*MART_COLUMNS, "transaction_date")
+    days = [r[0] for r in raw.select("transaction_date").distinct().collect()]
+    monkeypatch.setattr(refresh, "ROWS_PER_SLICE", 30)
+    refresh.refresh_venue_performance(raw, str(tmp_path / "venues"), days)
+    assert len(written) == 2
+    assert rows_of(refresh.read_venue_performance(spark, str(tmp_path / "venues"))) == rows_of(fct_venue_performance(stg_transactions(loads[0])))
+
+
+def test_parts_fill_slices(monkeypatch):
+    monkeypatch.setattr(refresh, "ROWS_PER_SLICE", 10)
+    assert refresh._slices({"a": 4, "b": 6, "c": 1, "d": 12, None: 3}) == [["a", "b"], ["c"], ["d"], [None]]
+
+
+def test_refreshed_venues_store_what_the_mart_needs_and_drop_it(spark, loads, monkeypatch):
+    stored, real = [], shared.new_path
+    monkeypatch.setattr(shared, "new_path", lambda s, name: stored.append(real(s, name)) or stored[-1])
+    monkeypatch.setattr(catalog, "LOADS", [(2024, 2024)])
+    mart = catalog._refreshed_venues(loads[0])
+    assert len(stored) == 1 and not versions.exists(spark, stored[0])
+    assert rows_of(mart) == rows_of(fct_venue_performance(stg_transactions(loads[0])))
+
+
 def test_shuffled_files_go_with_their_query(spark):
     before = spark.conf.get(shared.DROP_SHUFFLES)
     with shared.scratch(spark):
