@@ -114,9 +114,11 @@ def refresh_retention(spark: SparkSession, visits: str, folder: str, how: Sequen
     A late visit moves later ones, whose months the version then holds as well.
     """
     months = visit_store.months_of(spark, visits, how, versions)
-    rows = visit_store.history(spark, visits, how, months)
-    mart = fct_retention(rows).withColumn("month", F.col("forecast_month"))
-    _replace_parts(mart, folder, ["month"])
+    with scratch(spark):
+        for some in _slices(visit_store.sizes(spark, visits, how, months)):
+            rows = visit_store.history(spark, visits, how, some)
+            mart = fct_retention(rows).withColumn("month", F.col("forecast_month"))
+            _replace_parts(mart, folder, ["month"])
 
 
 def read_retention(spark: SparkSession, folder: str) -> DataFrame:

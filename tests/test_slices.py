@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from salesmart.operators.guests import visit_history_by_customer
+from salesmart.operators.guests import fct_retention, visit_history_by_customer
 from salesmart.operators.marts import MART_COLUMNS, fct_venue_performance
 from salesmart.operators.sequences import CUSTOMERS
 from salesmart.operators.staging import stg_transactions
@@ -58,6 +58,17 @@ def test_parts_of_a_load():
         assert len(slices) == min(n, visit_store.PARTS) and sorted(sum(slices, [])) == list(range(visit_store.PARTS))
 
 
+def test_retention_in_slices_of_months(spark, tmp_path, loads, monkeypatch):
+    monkeypatch.setattr(refresh, "ROWS_PER_SLICE", 30)
+    written, real = [], refresh._replace_parts
+    monkeypatch.setattr(refresh, "_replace_parts", lambda *a, **k: written.append(a) or real(*a, **k))
+    visits, folder = str(tmp_path / "visits"), str(tmp_path / "retention")
+    refresh.refresh_retention(spark, visits, folder, CUSTOMERS, [visit_store.extend(loads[0], visits, CUSTOMERS)])
+    # Four months of 14 visits each, two at a time.
+    assert len(written) == 2
+    assert rows_of(refresh.read_retention(spark, folder)) == rows_of(fct_retention(visit_history_by_customer(loads[0])))
+
+
 def test_venues_in_slices_of_parts(spark, tmp_path, loads, monkeypatch):
     written, real = [], refresh._replace_parts
     monkeypatch.setattr(refresh, "_replace_parts", lambda *a, **k: written.append(a) or real(*a, **k))
