@@ -177,7 +177,8 @@ def moved_candidates(
 ) -> DataFrame:
     """Live visits in the parts (of these, if given) and from the months where late visits fall."""
     visits = _candidates(spark, base, contents, how, reach or reached(late), parts)
-    if n_late <= NAMED_KEYS:
+    # Where folders are written anew, they need the visits of all keys.
+    if n_late <= min(NAMED_KEYS, BROADCAST_ROWS):
         visits = visits.where(F.col("name").isin(*[r["name"] for r in late.select("name").collect()]))
     return _live(spark, base, contents, how, visits).select(*ORDER, how.key_name, NUMBER, how.previous)
 
